@@ -173,6 +173,21 @@ def _judge_long(known: dict[Schema, list[str]]):
     return judge
 
 
+def _cut_long(known: dict[Schema, list[str]]):
+    by_source = {x: s for s, sources in known.items() for x in sources}
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for source, line in zip(b["source_id"], b["linea"], strict=True):
+                s = by_source[source]
+                groups = re.match(s.row(groups=True).replace(r"\z", r"\Z"), line).groups()
+                out.append([groups[s.canonical.index(k)] if k in s.canonical else "" for k in CANONICAL])
+            yield pd.DataFrame({"linea_id": b["linea_id"], "source_id": b["source_id"], "_f": out})
+
+    return cut
+
+
 def judged(records: DataFrame, catalogue: DataFrame) -> DataFrame:
     """``linea_id, source_id, linea, motivo, campo_roto`` of every record; ``motivo`` is null where the row loads."""
     known = schemas(catalogue)
@@ -207,7 +222,9 @@ def loaded(records: DataFrame, catalogue: DataFrame) -> DataFrame:
         picked = mark.join(f"${canonical.index(k) + 1}" if k in canonical else "" for k in names)
         return F.split(F.regexp_replace("linea", s.row(groups=True), picked), mark, -1)
 
-    parts = good.withColumn("_f", _case(known, fields, F.array().cast("array<string>")))
+    short = good.filter(F.length("linea") <= LONG_ROW).withColumn("_f", _case(known, fields, F.array().cast("array<string>")))
+    long = good.filter(F.length("linea") > LONG_ROW).mapInPandas(_cut_long(known), "linea_id bigint, source_id string, _f array<string>")
+    parts = short.select("linea_id", "source_id", "_f").unionByName(long)
 
     def field(i: int) -> Column:
         raw = F.get("_f", F.lit(i))
