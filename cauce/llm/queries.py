@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cauce.llm import places
+from cauce.llm import addresses, places
 from cauce.plans.registry import Registry
 from cauce.sources.tables import table
 
@@ -19,3 +20,16 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 @R.query("p5_misses")
 def p5_misses(spark: SparkSession, folder: str) -> DataFrame:
     return places.misses(table(spark, folder, "empresas_normalizado"), table(spark, folder, "municipios_referencia"))
+
+
+@R.query("p4_found")
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return addresses.same_place_pairs(table(spark, folder, "empresas_normalizado"), table(spark, folder, "municipios_referencia"))
+
+
+@R.query("p4_classes")
+def p4_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per address row: its place class and how many rows lie there."""
+    classed = addresses.classed(table(spark, folder, "empresas_normalizado"), table(spark, folder, "municipios_referencia"))
+    size = classed.groupBy("lugar").agg(F.count("*").alias("filas"))
+    return classed.select("row_order", "lugar").join(size, "lugar")
