@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm import addresses, places
+from cauce.llm import addresses, names, places
 from cauce.plans.registry import Registry
 from cauce.sources.tables import table
 
@@ -33,3 +33,14 @@ def p4_classes(spark: SparkSession, folder: str) -> DataFrame:
     classed = addresses.classed(table(spark, folder, "empresas_normalizado"), table(spark, folder, "municipios_referencia"))
     size = classed.groupBy("lugar").agg(F.count("*").alias("filas"))
     return classed.select("row_order", "lugar").join(size, "lugar")
+
+
+@R.query("p3_found")
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.variant_pairs(table(spark, folder, "empresas_normalizado"))
+
+
+@R.query("p3_classes")
+def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per spelling: the canonical form it is attached to and its rows."""
+    return names.classed(table(spark, folder, "empresas_normalizado")).groupBy("clase", "core").agg(F.count("*").alias("filas"))
