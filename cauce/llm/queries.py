@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm import addresses, names, places
+from cauce.llm import addresses, linkage, names, places
 from cauce.plans.registry import Registry
 from cauce.sources.tables import table
 
@@ -44,3 +44,18 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
     """One row per spelling: the canonical form it is attached to and its rows."""
     return names.classed(table(spark, folder, "empresas_normalizado")).groupBy("clase", "core").agg(F.count("*").alias("filas"))
+
+
+def _linked(spark: SparkSession, folder: str) -> DataFrame:
+    return linkage.matched(table(spark, folder, "empresas_con_exclusion"), table(spark, folder, "claves_internas"), table(spark, folder, "municipios_referencia"))
+
+
+@R.query("p2_found")
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _linked(spark, folder).filter(F.col("confianza") >= linkage.ACCEPT).select("entidad_dedup_id", "internal_order")
+
+
+@R.query("p2_confidence")
+def p2_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Every accepted pair with its confidence."""
+    return _linked(spark, folder).filter(F.col("confianza") >= linkage.ACCEPT).select("entidad_dedup_id", "internal_order", F.round("confianza", 6).alias("confianza"))
