@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm import addresses, linkage, names, places
+from cauce.llm import addresses, linkage, names, places, survivors
+from cauce.llm.oracle import P1_FOUND
 from cauce.plans.registry import Registry
 from cauce.sources.tables import table
 
@@ -59,3 +60,17 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 def p2_confidence(spark: SparkSession, folder: str) -> DataFrame:
     """Every accepted pair with its confidence."""
     return _linked(spark, folder).filter(F.col("confianza") >= linkage.ACCEPT).select("entidad_dedup_id", "internal_order", F.round("confianza", 6).alias("confianza"))
+
+
+def _grouped(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return table(spark, folder, "empresas_normalizado"), table(spark, folder, "grupos_deduplicacion"), table(spark, folder, "fuentes")
+
+
+@R.query("p1_found", P1_FOUND)
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return survivors.guides(*_grouped(spark, folder))
+
+
+@R.query("p1_survivors")
+def p1_survivors(spark: SparkSession, folder: str) -> DataFrame:
+    return survivors.survivors(*_grouped(spark, folder))
