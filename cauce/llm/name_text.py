@@ -32,6 +32,8 @@ GIVEN = {
 
 #: What is left of a letter whose two UTF-8 bytes were read as two characters, after accents were dropped.
 _MISREAD = re.compile("A\u0303?([\x80-\xbf])")
+_OTHER = re.compile(r"[^A-Z0-9]+")
+_ANY_DIGIT = re.compile(r"\d")
 _DIGITS = str.maketrans("0134589", "OIEASBG")
 _PHRASE = re.compile(r"(?<![A-Z0-9])(?:" + "|".join(re.escape(p).replace(r"\ ", r"\s+") for p in sorted(PHRASES, key=len, reverse=True)) + r")(?![A-Z0-9])")
 _TRADE = {w: k for k, short in TRADES.items() for w in [k, *short]}
@@ -50,19 +52,17 @@ def _cuts(listed: dict[str, str]) -> dict[str, set[str]]:
     return out
 
 
-def _known(word: str, listed: dict[str, str], cuts: dict[str, set[str]]) -> str | None:
-    """The full word that ``word`` is: listed, one edit away, or two for the longer ones."""
-    if word in listed:
-        return listed[word]
-    if len(word) < 5:
-        return None
+def _near(word: str, cuts: dict[str, set[str]]) -> list[str]:
+    """Listed full words that share a text with one letter left out, or an end, with ``word``."""
     near: set[str] = set()
-    for cut in {*deletions(word, 1), word[:4] + "~", "~" + word[-4:]}:
-        near |= cuts.get(cut, set())
-    for full in sorted(near):
-        if osa(word, full, 2) <= (2 if len(full) >= 9 else 1):
-            return full
-    return None
+    for i in range(len(word)):
+        cut = word[:i] + word[i + 1 :]
+        if cut in cuts:
+            near |= cuts[cut]
+    for cut in (word, word[:4] + "~", "~" + word[-4:]):
+        if cut in cuts:
+            near |= cuts[cut]
+    return sorted(near)
 
 
 @dataclass
@@ -73,17 +73,21 @@ class Name:
     initials: str = ""
 
 
-_TRADE_CUTS, _GIVEN_CUTS = _cuts(_TRADE), _cuts(_GIVEN)
+_CUTS = _cuts(_TRADE | _GIVEN)
 _words: dict[str, tuple[str | None, str | None]] = {}
 
 
 def _word(word: str) -> tuple[str | None, str | None]:
-    """``(trade, given name)`` that a word stands for."""
+    """``(trade, given name)`` that a word stands for: listed, one edit from a full word, or two from a long one."""
     if word not in _words:
         if len(_words) > 500_000:
             _words.clear()
-        given = _known(word, _GIVEN, _GIVEN_CUTS)
-        _words[word] = (None if given else _known(word, _TRADE, _TRADE_CUTS), given)
+        given, trade = _GIVEN.get(word), _TRADE.get(word)
+        if not given and not trade and len(word) >= 5:
+            close = [full for full in _near(word, _CUTS) if osa(word, full, 2) <= (2 if len(full) >= 9 else 1)]
+            given = next((full for full in close if full in GIVEN), None)
+            trade = next((full for full in close if full in TRADES), None)
+        _words[word] = (None if given else trade, given)
     return _words[word]
 
 
@@ -92,11 +96,12 @@ def parse(text: str | None) -> Name:
     name = Name()
     if not text:
         return name
-    t = _MISREAD.sub(lambda m: plain(chr(ord(m[1]) + 0x40)), plain(text))
-    t = re.sub(r"(?<=\b[A-Z])\.\s?(?=[A-Z]\b)", " ", t)
-    t = re.sub(r"[^A-Z0-9]+", " ", t).strip()
+    t = plain(text)
+    if not t.isascii():
+        t = _MISREAD.sub(lambda m: plain(chr(ord(m[1]) + 0x40)), t)
+    t = _OTHER.sub(" ", t).strip()
     t = _PHRASE.sub(" ", t)
-    words = [w if w.isdigit() else w.translate(_DIGITS) for w in t.split()]
+    words = t.split() if not _ANY_DIGIT.search(t) else [w if w.isdigit() else w.translate(_DIGITS) for w in t.split()]
     broken = ""
     for w in words:
         trade, given = _word(w)

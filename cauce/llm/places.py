@@ -38,6 +38,9 @@ DIGITS = str.maketrans("034589", "OEASBG")
 
 
 def plain(text: str) -> str:
+    """Upper case without accents."""
+    if text.isascii():
+        return text.upper()
     text = unicodedata.normalize("NFKD", text)
     return "".join(c for c in text if not unicodedata.combining(c)).upper()
 
