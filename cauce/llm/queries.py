@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm import addresses, linkage, names, places, survivors
+from cauce.llm import addresses, leaks, linkage, names, places, survivors
 from cauce.llm.oracle import P1_FOUND
 from cauce.plans.registry import Registry
 from cauce.sources.tables import table
@@ -74,3 +74,18 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 @R.query("p1_survivors")
 def p1_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return survivors.survivors(*_grouped(spark, folder))
+
+
+def _leaked(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leaked(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+@R.query("p8_found")
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _leaked(spark, folder).select("doc_id", "item_id")
+
+
+@R.query("p8_report")
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaked items with their number of documents, the longest run and the best copy of the passage."""
+    return _leaked(spark, folder).groupBy("item_id").agg(F.count("*").alias("documentos"), F.max("racha").alias("racha"), F.min("cambios").alias("cambios"))
