@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm import addresses, leaks, linkage, names, places, survivors
+from cauce.llm import addresses, chunks, leaks, linkage, mixture, names, places, survivors
 from cauce.llm.oracle import P1_FOUND
 from cauce.plans.registry import Registry
 from cauce.sources.tables import table
@@ -89,3 +89,18 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     """Leaked items with their number of documents, the longest run and the best copy of the passage."""
     return _leaked(spark, folder).groupBy("item_id").agg(F.count("*").alias("documentos"), F.max("racha").alias("racha"), F.min("cambios").alias("cambios"))
+
+
+@R.query("p9_mix")
+def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture.mixed(table(spark, folder, "documents"), table(spark, folder, "mezcla_objetivo"))
+
+
+@R.query("p9_shares")
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture.shares_reached(table(spark, folder, "documents"), table(spark, folder, "mezcla_objetivo"))
+
+
+@R.query("p10_pieces")
+def p10_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.split(table(spark, folder, "documents"))
