@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cauce.llm import addresses, chunks, leaks, linkage, mixture, names, places, survivors
+from cauce.llm import addresses, chunks, leaks, linkage, mixture, names, places, survivors, variety
 from cauce.llm.oracle import P1_FOUND
 from cauce.plans.registry import Registry
 from cauce.sources.tables import table
@@ -104,3 +104,14 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 @R.query("p10_pieces")
 def p10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.split(table(spark, folder, "documents"))
+
+
+@R.query("p6_subset")
+def p6_subset(spark: SparkSession, folder: str) -> DataFrame:
+    return variety.subset(table(spark, folder, "empresas_scored"), table(spark, folder, "municipios_referencia"))
+
+
+@R.query("p6_coverage")
+def p6_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    rows, reference = table(spark, folder, "empresas_scored"), table(spark, folder, "municipios_referencia")
+    return variety.coverage(variety.subset(rows, reference), rows, reference)
