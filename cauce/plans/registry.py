@@ -3,12 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cauce.session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def shipped(f: Query) -> Query:
+    """``f``, with the package sent to the workers first."""
+
+    @wraps(f)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return f(spark, folder)
+
+    return run
+
+
 class Registry:
     def __init__(self) -> None:
         self.queries: dict[str, Query] = {}
@@ -18,7 +32,7 @@ class Registry:
         def add(f: Query) -> Query:
             if name in self.queries:
                 raise ValueError(f"two queries named {name}")
-            self.queries[name] = f
+            self.queries[name] = shipped(f)
             if sql is not None:
                 self.oracle[name] = sql
             return f

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,20 @@ def local_session(cores: str = "8", partitions: int = 8) -> SparkSession:
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context, wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_cauce_shipped", False):
+        return
+    home = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="cauce_pkg_")) / "cauce.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(home.rglob("*.py")):
+            z.write(p, f"cauce/{p.relative_to(home)}")
+    context.addPyFile(str(target))
+    context._cauce_shipped = True
+
+
 def work_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
