@@ -9,6 +9,8 @@ own; repeated rows (same lineage) are rows; extra columns are carried only where
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,15 +104,22 @@ def masters(grouped: DataFrame) -> DataFrame:
     """
     rank = F.struct((-completeness()).alias("c"), F.col("row_order").alias("o"))
     order = F.col("row_order")
+    sizes = grouped.groupBy("entidad_dedup_id").agg(F.count("*").alias("registros_consolidados"))
+    sized = grouped.join(sizes, "entidad_dedup_id")
+    # most entities have one row and are their own master; only the others are aggregated
+    alone = sized.filter("registros_consolidados = 1").select(
+        "entidad_dedup_id", *LINEAGE, *FIELDS, F.lit(1).cast("bigint").alias("numero_fuentes_consolidadas"), F.col("source_id").alias("fuentes_consolidadas"), "registros_consolidados",
+        "metodo_deduplicacion", "confianza_deduplicacion", F.lit("").alias("campos_en_conflicto"),
+    )
     picked = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(c) for c in [*LINEAGE, *FIELDS]]
-    distinct = [(F.min(F.col(c)) != F.max(F.col(c))).alias(f"_d_{c}") for c in FIELDS]
-    summary = grouped.groupBy("entidad_dedup_id").agg(
+    distinct = [(F.min(F.when(F.col(c).isNotNull(), F.xxhash64(c))) != F.max(F.when(F.col(c).isNotNull(), F.xxhash64(c)))).alias(f"_d_{c}") for c in FIELDS]
+    summary = sized.filter("registros_consolidados > 1").groupBy("entidad_dedup_id").agg(
         *picked, F.count_distinct("source_id").alias("numero_fuentes_consolidadas"), F.array_join(F.array_sort(F.collect_set("source_id")), ";").alias("fuentes_consolidadas"),
         F.count("*").alias("registros_consolidados"), F.min_by("metodo_deduplicacion", order).alias("metodo_deduplicacion"),
         F.min_by("confianza_deduplicacion", F.when(F.col("confianza_deduplicacion").isNotNull(), order)).alias("confianza_deduplicacion"), *distinct,
     )
     conflicts = F.array_join(F.array_compact(F.array(*[F.when(F.col(f"_d_{c}"), c) for c in FIELDS])), ";")
-    return summary.withColumn("campos_en_conflicto", conflicts).drop(*[f"_d_{c}" for c in FIELDS])
+    return summary.withColumn("campos_en_conflicto", conflicts).drop(*[f"_d_{c}" for c in FIELDS]).unionByName(alone)
 
 
 def conflict_values(grouped: DataFrame) -> DataFrame:
@@ -150,10 +159,8 @@ def fuzzy_candidates(open_rows: DataFrame, threshold: float = THRESHOLD, largest
     sized = name_blocks(open_rows).filter(F.col("filas").between(2, largest)).drop("filas")
     named = open_rows.select("row_order", "razon_social_normalizada", "municipio_nombre_normalizado", F.substring("razon_social_normalizada", 1, 4).alias("prefijo"))
 
-    def stars(b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values("row_order")
-        texts = [" ".join(sorted(t.split())) for t in b["razon_social_normalizada"]]
-        ids = b["row_order"].tolist()
+    def stars(ids: list[int], names: list[str]) -> list[tuple[int, int]]:
+        texts = [" ".join(sorted(t.split())) for t in names]
         used: set[int] = set()
         out = []
         for i, t in enumerate(texts):
@@ -166,7 +173,21 @@ def fuzzy_candidates(open_rows: DataFrame, threshold: float = THRESHOLD, largest
             if near:
                 used |= {i, *near}
                 out += [(ids[k], ids[i]) for k in (i, *near)]
-        return pd.DataFrame(out, columns=["row_order", "ancla"])
-
-    return named.join(sized, block).groupBy(*block).applyInPandas(stars, "row_order bigint, ancla bigint")
-
+        return out
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come block by block; a block that a batch cuts is held until its last row."""
+        key, ids, names = None, [], []
+        for b in batches:
+            out: list[tuple[int, int]] = []
+            for place, prefix, row, name in zip(b["municipio_nombre_normalizado"], b["prefijo"], b["row_order"], b["razon_social_normalizada"], strict=True):
+                if (place, prefix) != key:
+                    out += stars(ids, names)
+                    key, ids, names = (place, prefix), [], []
+                ids.append(row)
+                names.append(name)
+            yield pd.DataFrame(out, columns=["row_order", "ancla"])
+        yield pd.DataFrame(stars(ids, names), columns=["row_order", "ancla"])
+
+    rows = named.join(sized, block).repartition(*block).sortWithinPartitions(*block, "row_order")
+    return rows.select(*block, "row_order", "razon_social_normalizada").mapInPandas(walk, "row_order bigint, ancla bigint")
