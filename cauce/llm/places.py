@@ -58,6 +58,8 @@ class PlaceIndex:
         for form in self.entries:
             for cut in set(deletions(form, MAX_DELETE)):
                 self.deletes.setdefault(cut, set()).add(form)
+        #: A text longer than this is beyond the limit of every entry.
+        self.longest = max((len(f) for f in self.entries), default=0) + MAX_DELETE
         self.memo: dict[tuple, str | None] = {}
 
     @staticmethod
@@ -72,6 +74,8 @@ class PlaceIndex:
         """``(distance, entry form)`` within the limit."""
         if form in self.entries:
             return [(0.0, form)]
+        if len(form) > self.longest:
+            return []
         limit = self.limit(form)
         found: set[str] = set()
         for cut in set(deletions(form, MAX_DELETE)):
@@ -124,7 +128,8 @@ class PlaceIndex:
             while len(words) > 1 and words[0] in BEFORE:
                 words = words[1:]
             tries = [] if smaller else [words]
-            tries += [words[k:] for k in range(1, len(words))] if smaller or len(words) > 1 and best is None else []
+            ends = [len(w) for w in words]
+            tries += [words[k:] for k in range(max(1, len(words) - self.longest), len(words)) if sum(ends[k:]) <= self.longest + 8]
             for penalty, w in enumerate(tries):
                 partial = penalty > 0 or smaller
                 for form in self.forms(w):
