@@ -45,7 +45,7 @@ def test_same_place(spark):
         (1, "CL 80 # 42-61", "ALMIRA", None), (2, "CALLE 80 No. 42 - 61 AP 3", "almira", None), (3, "CL 80 # 42-61", "BRESAL", None), (4, "CLL 80 42 61", None, None), (5, "CL 80 # 42-61", "ALMIRA", None), (6, None, "ALMIRA", None), (7, "NULL", "ALMIRA", None),
         (8, "VDA TORFLOCHANA FCA CHEBROGUBA", "ALMIRA", None), (9, "FINCA CHEBROGUBA VEREDA TOFRLOCHANA", "ALMIRA", None), (10, "FCA CHEBROGUBA VDA TORFLOCHANA ZONA RURAL", "ALMIRA", None), (11, "FCA CHEBROGUBA VDA QUILANDIA", "ALMIRA", None), (12, "TV 80 # 42-61", "ALMIRA", None),
     ]
-    df = spark.createDataFrame(rows, "row_order bigint, direccion_comercial string, municipio_comercial string, departamento string").selectExpr("*", "'x' as lugar", "1 as id")
+    df = spark.createDataFrame(rows, "row_order bigint, direccion_comercial string, municipio_comercial string, departamento string").selectExpr("*", "upper(municipio_comercial) as municipio_nombre_normalizado", "'x' as lugar", "1 as id")
     reference = spark.createDataFrame(REFERENCE, "codigo_dane string, nombre string, departamento string")
     got = sorted(tuple(r) for r in addresses.same_place_pairs(df, reference).collect())
     assert got == [(1, 2), (1, 4), (2, 4), (2, 5), (3, 4), (4, 5), (8, 9), (8, 10), (9, 10)]

@@ -9,7 +9,7 @@ def data(spark):
     names = ["ZULINESO", "MOPECHAVI", "TARILEMBU", "VELOTOGRI", "GUNAROSFE", "PIXANIDRE", "DROLEYOLLO", "SAKIXATE"]
     rows = []
     for i in range(900):
-        sector = ["Comercio", "Comercio", "Comercio", "Salud", None, "Agro"][i % 6] if i % 30 else f"Raro {i % 5}"
+        sector = ["Comercio", "Comercio", "Comercio", "Salud", None, "Agro"][i % 6] if i % 30 else f"Raro {i // 30 % 3}"
         rows.append((f"e{i}", sector, ["ALMIRA", "ALMIRA", "almirra", "BRESAL", None, "?"][i % 6], float(i % 97), f"TIENDA {names[i % 8]}{i // 8 % 9} {names[i // 8 % 8]}{'ABCDEFGHIJKLMNO'[i % 15]}", str(800000000 + i * 7), "SIN_COINCIDENCIA"))
     rows += [(f"copy{i}", "Salud", "BRESAL", 50.0, "CLINICA UNICORNIA COPIADA", None, "SIN_COINCIDENCIA") for i in range(200)]
     rows += [("out", "Salud", "BRESAL", 99.0, "X", None, "EXCLUSION_ALTA"), ("unscored", "Salud", "BRESAL", None, "Y", None, "SIN_COINCIDENCIA"), ("nameless", None, None, 3.0, None, None, "SIN_COINCIDENCIA")]
@@ -24,7 +24,7 @@ def test_subset(spark):
     ids = {r.entidad_dedup_id for r in got}
     assert not ids & {"out", "unscored"} and sum(i.startswith("copy") for i in ids) <= 1
     sectors = Counter(r.sector for r in got)
-    assert len(sectors) == 8 or len(sectors) >= 7
+    assert len(sectors) >= 6  # of seven
     assert sectors["COMERCIO"] < 80 * 0.5  # half of the universe
     assert sum(r.score_prioridad_comercial for r in got) / 80 > 55  # the universe has 48
     again = variety.subset(rows.repartition(7), reference, size=80, clusters=12).collect()
