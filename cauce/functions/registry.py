@@ -78,6 +78,18 @@ def size_class(c: Column) -> Column:
     return F.when(text.contains("gran"), "grande").when(text.contains("median"), "mediana").when(text.contains("pequen"), "pequeña").when(text.contains("micro"), "micro")
 
 
+def contact_channels(phones: list[Column], mail: Column) -> Column:
+    """SCO-7: 0 to 2: whether there is any telephone, and a mail address; empty texts count as there."""
+    return F.coalesce(*phones).isNotNull().cast("int") + mail.isNotNull().cast("int")
+
+
+def weighted_mean(parts: list[tuple[Column, float]]) -> Column:
+    """SCO-8: mean of the values that are there by their weights; a missing value leaves both sums. Null if none is there."""
+    total = sum((F.when(v.isNotNull(), v * w).otherwise(0.0) for v, w in parts), F.lit(0.0))
+    weight = sum((F.when(v.isNotNull(), w).otherwise(0.0) for v, w in parts), F.lit(0.0))
+    return F.when(weight > 0, total / weight)
+
+
 def renewal_year(c: Column) -> Column:
     """SCO-4: four digits once points and commas are dropped, within the plausible years."""
     text = F.regexp_replace(F.translate(c, ",.", ""), r"(?U)^\s+|\s+$", "")

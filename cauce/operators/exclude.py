@@ -47,6 +47,19 @@ def by_identifier(entities: DataFrame, keys: DataFrame) -> DataFrame:
     return entities.select("entidad_dedup_id", usable_id(F.col("nit")).alias("nit_valido")).join(once, "nit_valido")
 
 
+def by_number(entities: DataFrame, keys: DataFrame, sources: DataFrame, chamber: str) -> DataFrame:
+    """EXC-9: entities with the registration number of an internal row, if one of their sources is of the chamber.
+
+    Registration numbers are unique within a chamber only. The sources of an entity are few; their chambers are
+    looked up in the broadcast catalogue.
+    """
+    once = keys.filter("matricula_valida is not null").groupBy("matricula_valida", "fuente_interna").agg(F.min("internal_order").alias("primera"))
+    of_chamber = sources.filter(F.coalesce("camara_grupo", "source_id") == chamber).select("source_id")
+    mine = entities.select("entidad_dedup_id", F.when(~placeholder_id(F.col("matricula")), F.col("matricula")).alias("matricula_valida"), F.explode(F.split("fuentes_consolidadas", ";")).alias("source_id"))
+    local = mine.filter("matricula_valida is not null").join(F.broadcast(of_chamber), "source_id", "left_semi").select("entidad_dedup_id", "matricula_valida").distinct()
+    return local.join(once, "matricula_valida").select("entidad_dedup_id", "matricula_valida", "fuente_interna", "primera")
+
+
 def exact_matches(entities: DataFrame, keys: DataFrame) -> DataFrame:
     """EXC-8, EXC-10: ``entidad_dedup_id, tipo, fuentes, n_fuentes`` by the first of identifier, name and place, name."""
     sources = lambda *by: keys.filter(" and ".join(f"{b} is not null" for b in by)).groupBy(*by).agg(F.array_sort(F.collect_set("fuente_interna")).alias("f"))

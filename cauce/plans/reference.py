@@ -15,8 +15,9 @@ from cauce.functions.dates import typed_day
 from cauce.functions.similarity import token_sort_ratio
 from cauce.operators import dedup, enrich, exclude, normalise, rank, reports
 from cauce.plans.registry import Registry
-from cauce.sources.tables import table
 from cauce.session import cut
+from cauce.sources import files
+from cauce.sources.tables import table
 
 R = Registry()
 N, G, E, X, S, I, M = "empresas_normalizado", "grupos_deduplicacion", "empresas_deduplicado", "empresas_con_exclusion", "empresas_scored", "claves_internas", "municipios_referencia"
@@ -42,6 +43,20 @@ def _ok(c: str) -> str:
     return f"CASE WHEN {c} <> '' AND NOT ({c}[1] BETWEEN '0' AND '9' AND replace({c}, {c}[1], '') = '') THEN {c} END"
 
 
+# ---- sources ----
+
+
+@R.query("ing1_sources", "SELECT source_id, archivo FROM fuentes WHERE categoria = 'sectorial'")
+def ing1(spark: SparkSession, d: str) -> DataFrame:
+    return files.listed(table(spark, d, "fuentes").withColumn("duplicado_de", F.lit(None).cast("string")), "sectorial").select("source_id", "archivo")
+
+
+@R.query("ing15_rows_by_format", f"SELECT formato, count(DISTINCT f.source_id) AS fuentes, count(n.row_order) AS filas FROM fuentes f LEFT JOIN {N} n ON f.source_id = n.source_id GROUP BY 1")
+def ing15(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, N, "source_id").groupBy("source_id").agg(F.count("*").alias("n"))
+    return table(spark, d, "fuentes").join(rows, "source_id", "left").groupBy("formato").agg(F.count("*").alias("fuentes"), F.coalesce(F.sum("n"), F.lit(0)).alias("filas"))
+
+
 # ---- cleansing ----
 
 
@@ -124,9 +139,20 @@ def nrm16(spark: SparkSession, d: str) -> DataFrame:
     return normalise.quality(table(spark, d, N), ["nit", "email_comercial"])
 
 
-@R.query("dates_typed")
+def _day(c: str) -> str:
+    f = f"regexp_replace(trim({c}), ' [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$', '')"
+    parts = f"regexp_extract({f}, '[0-9]{{4}}$') || '-' || lpad(%s, 2, '0') || '-' || lpad(regexp_extract({f}, '^[0-9]+'), 2, '0')"
+    number = f"regexp_extract({f}, '^[0-9]+[/.-]([0-9]+)', 1)"
+    word = f"CAST((position(regexp_extract({f}, '[a-z]{{3}}') IN 'ene feb mar abr may jun jul ago sep oct nov dic') + 3) // 4 AS VARCHAR)"
+    return (
+        f"CAST(try_cast(CASE WHEN regexp_full_match({f}, '[0-9]{{8}}') THEN substr({f}, 1, 4) || '-' || substr({f}, 5, 2) || '-' || substr({f}, 7, 2) WHEN regexp_full_match({f}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN {f} "
+        f"WHEN regexp_full_match({f}, '[0-9]{{1,2}}[/.-][0-9]{{1,2}}[/.-][0-9]{{4}}') THEN {parts % number} WHEN regexp_full_match({f}, '[0-9]{{1,2}} [a-z]{{3}} [0-9]{{4}}') THEN {parts % word} END AS DATE) AS VARCHAR)"
+    )
+
+
+@R.query("dates_typed", f"SELECT row_order, {_day('fecha_matricula')} AS matricula, {_day('fecha_renovacion')} AS renovacion, {_day('fecha_constitucion')} AS constitucion FROM {N}")
 def dates_typed(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, N).select("row_order", *[typed_day(F.col(c)).alias(c) for c in ("fecha_matricula", "fecha_renovacion", "fecha_constitucion")])
+    return table(spark, d, N).select("row_order", *[typed_day(F.col(f"fecha_{c}")).cast("string").alias(c) for c in ("matricula", "renovacion", "constitucion")])
 
 
 # ---- deduplication ----
@@ -344,6 +370,16 @@ def exc10(spark: SparkSession, d: str) -> DataFrame:
     return exclude.exact_matches(table(spark, d, X), exclude.internal_keys(table(spark, d, I)))
 
 
+@R.query(
+    "exc9_by_number",
+    f"WITH {_INT}, f AS (SELECT matricula_valida, fuente_interna, min(internal_order) AS primera FROM i WHERE matricula_valida IS NOT NULL GROUP BY 1, 2) "
+    f"SELECT x.entidad_dedup_id, f.matricula_valida, f.fuente_interna, f.primera FROM {X} x JOIN f ON {_ok('x.matricula')} = f.matricula_valida "
+    "WHERE EXISTS (SELECT 1 FROM fuentes s WHERE coalesce(s.camara_grupo, s.source_id) = 'serena' AND position(';' || s.source_id || ';' IN ';' || x.fuentes_consolidadas || ';') > 0)",
+)
+def exc9(spark: SparkSession, d: str) -> DataFrame:
+    return exclude.by_number(table(spark, d, X), exclude.internal_keys(table(spark, d, I)), table(spark, d, "fuentes"), "serena")
+
+
 @R.query("exc11_similar_names")
 def exc11(spark: SparkSession, d: str) -> DataFrame:
     return exclude.similar_names(table(spark, d, X), exclude.internal_keys(table(spark, d, I)))
@@ -357,6 +393,21 @@ def sco3(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, S).select("entidad_dedup_id", reg.size_class(F.col("tamano_empresa")).alias("clase"))
 
 
+@R.query("sco7_contact", f"SELECT entidad_dedup_id, CAST(coalesce(telefono_comercial_1, telefono_comercial_2, telefono_comercial_3) IS NOT NULL AS INTEGER) + CAST(email_comercial IS NOT NULL AS INTEGER) AS canales FROM {S}")
+def sco7(spark: SparkSession, d: str) -> DataFrame:
+    channels = reg.contact_channels([F.col(f"telefono_comercial_{i}") for i in (1, 2, 3)], F.col("email_comercial"))
+    return table(spark, d, S).select("entidad_dedup_id", channels.alias("canales"))
+
+
+@R.query(
+    "sco8_weighted_mean",
+    f"SELECT entidad_dedup_id, round((coalesce(0.5 * score_fit, 0) + coalesce(0.3 * score_escala, 0) + coalesce(0.2 * score_contactabilidad, 0)) / nullif(CASE WHEN score_fit IS NULL THEN 0 ELSE 0.5 END + CASE WHEN score_escala IS NULL THEN 0 ELSE 0.3 END + CASE WHEN score_contactabilidad IS NULL THEN 0 ELSE 0.2 END, 0), 6) AS media FROM {S}",
+)
+def sco8(spark: SparkSession, d: str) -> DataFrame:
+    mean = reg.weighted_mean([(F.col("score_fit"), 0.5), (F.col("score_escala"), 0.3), (F.col("score_contactabilidad"), 0.2)])
+    return table(spark, d, S).select("entidad_dedup_id", F.round(mean, 6).alias("media"))
+
+
 _YEAR = "CASE WHEN regexp_full_match(trim(replace(replace(ultimo_ano_renovado, ',', ''), '.', '')), '[0-9]{4}') THEN CAST(trim(replace(replace(ultimo_ano_renovado, ',', ''), '.', '')) AS INTEGER) END"
 
 
