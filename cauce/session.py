@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -43,11 +45,28 @@ def work_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = getattr(spark, "_cauce_work", None) or "file://" + tempfile.mkdtemp(prefix="cauce_")
-        spark._cauce_work = folder
+        folder = getattr(spark, "_cauce_work", None)
+        if not folder:
+            own = tempfile.mkdtemp(prefix="cauce_")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            folder = spark._cauce_work = "file://" + own
     return folder.rstrip("/")
 
 
+_written: list[str] = []
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Delete the tables that ``cut`` wrote in this process, once no result reads them any more; how many there were."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in _written:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    count = len(_written)
+    _written.clear()
+    return count
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and return a scan of it.
 
@@ -56,6 +75,7 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_folder(spark)}/cauce_{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -160,3 +160,16 @@ def test_no_join_of_everything_with_everything(spark):
     for name in ("ded5_merged_keys", "enr4_repaired_codes", "exc10_exact_matches", "div5_place_limits", "p7_found"):
         plan = entry.queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
         assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_work_tables_can_be_cleared(spark):
+    from pathlib import Path
+
+    from cauce.session import clear_work, cut, work_folder
+
+    clear_work(spark)
+    folder = Path(work_folder(spark).removeprefix("file://"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    assert cut(spark.range(5).toDF("x")).count() == 5
+    assert len(set(folder.iterdir()) - before) == 1
+    assert clear_work(spark) == 1 and not set(folder.iterdir()) - before
