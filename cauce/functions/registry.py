@@ -150,10 +150,10 @@ def tie_key(c: Column) -> Column:
     return F.substring(F.sha2(c, 256), 1, 15)
 
 
-# What is taken from messages.
-PHONES = r"(?:\+57|57)?\s?3\d{9}|\d{7,10}"
-EMAILS = r"[\w\.-]+@[\w\.-]+\.\w+"
-AMOUNTS = r"(?i)\$?\s?\d{1,3}(?:[.,]\d{3})*(?:[.,]\d{2})?\s?(?:COP|pesos|cop)?"
+# What is taken from messages. Letters, digits and white space of any script (U) count.
+PHONES = r"(?U)(?:\+57|57)?\s?3\d{9}|\d{7,10}"
+EMAILS = r"(?U)[\w\.-]+@[\w\.-]+\.\w+"
+AMOUNTS = r"(?iU)\$?\s?\d{1,3}(?:[.,]\d{3})*(?:[.,]\d{2})?\s?(?:COP|pesos|cop)?"
 
 
 def entities(c: Column) -> Column:

@@ -18,6 +18,7 @@ from cauce.plans.registry import Registry
 from cauce.session import cut
 from cauce.sources import files
 from cauce.sources.tables import table
+from cauce.streaming.messages import with_entities
 
 R = Registry()
 N, G, E, X, S, I, M = "empresas_normalizado", "grupos_deduplicacion", "empresas_deduplicado", "empresas_con_exclusion", "empresas_scored", "claves_internas", "municipios_referencia"
@@ -566,6 +567,12 @@ def msg4(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", F.size("e.emails").cast("bigint").alias("correos"), F.size("e.telefonos").cast("bigint").alias("telefonos"))
 
 
+@R.query("msg4_entities_all")
+def msg4_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every document and all three lists; no SQL, because RE2's classes are ASCII only and the method's are not."""
+    return with_entities(table(spark, d, "documents", "doc_id", "text")).select("doc_id", "entidades.*")
+
+
 @R.query("msg11_first_of_message", "SELECT message_id, min(doc_id) AS doc_id, count(*) AS veces FROM documents WHERE message_id IS NOT NULL GROUP BY 1")
 def msg11(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", "doc_id", "message_id").filter("message_id is not null").groupBy("message_id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("veces"))

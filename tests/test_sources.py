@@ -70,3 +70,21 @@ def test_stream_equals_batch(spark, tmp_path):
     query.stop()
     got = spark.table("first_copies")
     assert sorted(r.message_id for r in got.collect()) == ["m1", "m2"]
+
+
+def test_entities_of_every_message(spark, tmp_path):
+    import re
+
+    import __spark_entry__ as entry
+
+    patterns = {"telefonos": (r"(?:\+57|57)?\s?3\d{9}|\d{7,10}", 0), "emails": (r"[\w\.-]+@[\w\.-]+\.\w+", 0), "montos": (r"\$?\s?\d{1,3}(?:[.,]\d{3})*(?:[.,]\d{2})?\s?(?:COP|pesos|cop)?", re.IGNORECASE)}
+    texts = [
+        ("en", "call +57 3001234567 or 6012345678, a.b@c.co"), ("es", "señora peña@correo.co pagó $ 1.200.000 COP al 573001234567"), ("pt", "joão@empresa.com.br, 12,50 PESOS"), (None, "ñ 1\u00a0cop 3009876543"), ("es", ""), ("es", "sin nada"), ("es", None), ("en", "ñandú@x.co 99"),
+    ]
+    rows = [(f"d{i}", t, lang) for i, (lang, t) in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id string, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in entry.queries()["msg4_entities_all"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    for key, text, _ in rows:
+        for column, (pattern, flags) in patterns.items():
+            assert got[key][column] == (None if text is None else [m[0] for m in re.finditer(pattern, text, flags)])
