@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cauce.functions.similarity import may_reach, token_sort_ratio
-from cauce.functions.text import comparison_text, digits, place_parts, placeholder_id
+from cauce.functions.text import comparison_text, digits, place_parts, placeholder_id, token_sort
 
-# Similarity of a match, and the names on one side of a place beyond which it is not compared.
+# Similarity of a match, and the names on one side of a place beyond which the method doesn't compare it.
 THRESHOLD, LARGEST_SIDE = 85.0, 300
+#: Characters counted one by one in the bound on a ratio.
+LETTERS = " ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 
 
 def usable_id(c: Column) -> Column:
@@ -73,15 +75,34 @@ def exact_matches(entities: DataFrame, keys: DataFrame) -> DataFrame:
     return met.filter(found.isNotNull()).select("entidad_dedup_id", kind.alias("tipo"), F.array_join(found, ";").alias("fuentes"), F.size(found).alias("n_fuentes"))
 
 
-def similar_names(entities: DataFrame, keys: DataFrame, threshold: float = THRESHOLD, largest: int = LARGEST_SIDE) -> DataFrame:
+def pending(entities: DataFrame, keys: DataFrame, sources: DataFrame, chamber: str) -> DataFrame:
+    """EXC-11: the entities that neither identifier, number of the chamber nor exact name has matched."""
+    matched = exact_matches(entities, keys).select("entidad_dedup_id").unionByName(by_number(entities, keys, sources, chamber).select("entidad_dedup_id"))
+    return entities.join(matched, "entidad_dedup_id", "left_anti")
+
+
+def _letters(c: Column) -> Column:
+    """How often each of ``LETTERS`` occurs, and the number of the other characters."""
+    counts = [F.length(c) - F.length(F.replace(c, F.lit(x), F.lit(""))) for x in LETTERS]
+    return F.array(*counts, F.length(F.translate(c, LETTERS, "")))
+
+
+def similar_names(entities: DataFrame, keys: DataFrame, threshold: float = THRESHOLD, largest: int | None = None) -> DataFrame:
     """EXC-11: ``entidad_dedup_id, mejor``: the best ratio to an internal name of the same place, from the threshold.
 
-    A place is compared only where each side has at most ``largest`` names (the method's rule), so the pairs
-    of a place are bounded; lengths that cannot reach the threshold do not go to Python.
+    Every place is compared; with ``largest`` (the method's rule: ``LARGEST_SIDE``) only those where each side has
+    at most so many entities or names. Equal names of a place are one. Pairs that their lengths, or the letters
+    they have in common, keep below the threshold do not go to Python; neither bound drops a pair that reaches it.
     """
     mine = entities.filter("razon_social_normalizada is not null and municipio_nombre_normalizado is not null").select("entidad_dedup_id", F.col("razon_social_normalizada").alias("a"), F.col("municipio_nombre_normalizado").alias("lugar"))
     theirs = keys.filter("nombre is not null and lugar is not null").select("lugar", F.col("nombre").alias("b")).distinct()
-    small = lambda df: df.groupBy("lugar").agg(F.count("*").alias("n")).filter(F.col("n") <= largest).select("lugar")
-    places = small(mine).join(small(theirs), "lugar")
-    pairs = mine.join(places, "lugar").join(theirs, "lugar").filter(may_reach(F.col("a"), F.col("b"), threshold))
-    return pairs.withColumn("r", token_sort_ratio(F.col("a"), F.col("b"))).filter(F.col("r") >= threshold).groupBy("entidad_dedup_id").agg(F.max("r").alias("mejor"))
+    if largest is not None:
+        small = lambda df: df.groupBy("lugar").agg(F.count("*").alias("n")).filter(F.col("n") <= largest).select("lugar")
+        mine = mine.join(small(mine).join(small(theirs), "lugar"), "lugar")
+    one = mine.select("lugar", "a").distinct().withColumn("la", _letters(token_sort(F.col("a"))))
+    other = theirs.withColumn("lb", _letters(token_sort(F.col("b"))))
+    shared = sum((F.least(F.col("la")[i], F.col("lb")[i]) for i in range(len(LETTERS) + 1)), F.lit(0))
+    pairs = one.join(other, "lugar").filter(may_reach(F.col("a"), F.col("b"), threshold))
+    pairs = pairs.filter(200.0 * shared >= threshold * (F.aggregate("la", F.lit(0), lambda x, y: x + y) + F.aggregate("lb", F.lit(0), lambda x, y: x + y)))
+    best = pairs.withColumn("r", token_sort_ratio(F.col("a"), F.col("b"))).filter(F.col("r") >= threshold).groupBy("lugar", "a").agg(F.max("r").alias("mejor"))
+    return mine.join(best, ["lugar", "a"]).select("entidad_dedup_id", "mejor")

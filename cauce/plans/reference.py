@@ -383,7 +383,8 @@ def exc9(spark: SparkSession, d: str) -> DataFrame:
 
 @R.query("exc11_similar_names")
 def exc11(spark: SparkSession, d: str) -> DataFrame:
-    return exclude.similar_names(table(spark, d, X), exclude.internal_keys(table(spark, d, I)))
+    keys = exclude.internal_keys(table(spark, d, I))
+    return exclude.similar_names(exclude.pending(table(spark, d, X), keys, table(spark, d, "fuentes"), "serena"), keys)
 
 
 # ---- scores and ranking ----

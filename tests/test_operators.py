@@ -96,6 +96,36 @@ def test_exclusion_order(spark):
     assert exclude.exact_matches(entities.limit(0), keys).count() == 0 and exclude.exact_matches(entities, keys.limit(0)).count() == 0
 
 
+def test_similar_names_of_every_pending_entity(spark):
+    """Against all pairs, in a place larger than the method's bound; matched entities neither come out nor count."""
+    from cauce.functions.similarity import common_subsequence
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("ABCDEÑ1") for _ in range(rng.randint(3, 6)))
+    theirs = [f"{word()} {word()} {word()}" for _ in range(40)]
+    mine = [rng.choice(theirs)[rng.randint(0, 2) :] + rng.choice(["", "X", " YZ"]) for _ in range(340)] + [f"{word()} {word()}" for _ in range(30)]
+    entities = [(f"e{i}", None, None, "s1", " ".join(n.split()), "X") for i, n in enumerate(mine)]
+    entities += [("nit", "900123", None, "s1", theirs[0] + "A", "Y"), ("number", None, "7712", "s1;s2", theirs[0] + "A", "Y"), ("far", None, "7712", "s2", theirs[0] + "A", "Y")]
+    internal = [(i, "crm", None, None, n, p, None) for i, n in enumerate(theirs) for p in "XY"] + [(900, "crm", "900123", None, None, None, None), (901, "hub", None, "7712", None, None, None)]
+    df = spark.createDataFrame(entities, "entidad_dedup_id string, nit string, matricula string, fuentes_consolidadas string, razon_social_normalizada string, municipio_nombre_normalizado string")
+    keys = exclude.internal_keys(spark.createDataFrame(internal, "internal_order bigint, fuente_interna string, nit string, matricula string, razon_social string, municipio string, tipo_antecedente string"))
+    sources = spark.createDataFrame([("s1", "c1"), ("s2", "c2")], SOURCES)
+    left = exclude.pending(df, keys, sources, "c1")
+    got = {r.entidad_dedup_id: r.mejor for r in exclude.similar_names(left, keys).collect()}
+    known = {k.nombre for k in keys.filter("nombre is not null").collect()}
+
+    def ratio(a, b):
+        a, b = (" ".join(sorted(t.split())) for t in (a, b))
+        return 200.0 * common_subsequence(a, b) / (len(a) + len(b))
+
+    best = {e[0]: max(ratio(e[4], k) for k in known) for e in entities if e[4] not in known and e[0] not in ("nit", "number")}
+    want = {k: v for k, v in best.items() if v >= exclude.THRESHOLD}
+    assert got == pytest.approx(want) and "far" in got and len(got) > 60
+    one_place = df.filter("municipio_nombre_normalizado = 'Y'")
+    assert {r.entidad_dedup_id for r in exclude.similar_names(exclude.pending(one_place, keys, sources, "c1"), keys, largest=40).collect()} == {"far"}
+    assert exclude.similar_names(left, keys, largest=39).count() == 0
+
+
 def test_ranking_on_a_prefix_is_that_of_all_rows(spark):
     rng = random.Random(4)
     for n in (5, 20):
