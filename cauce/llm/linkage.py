@@ -33,8 +33,6 @@ START = np.array([2.0, 1.0, 2.0])
 JOINED_NAME, JOINED_EDITS = 14, 4
 #: Confidence from which a candidate counts as a match.
 ACCEPT = 0.5
-#: Rows of one side with the same single key (part, telephone, e-mail) beyond which the key alone says nothing.
-COMMON_KEY = 200
 
 # Mailbox names and hosts that do not point to a company.
 MAILBOXES = ["info", "ventas", "contacto", "admin", "gerencia", "facturas", "pagos", "contabilidad", "correo"]
@@ -130,20 +128,16 @@ def _keys(side: DataFrame) -> DataFrame:
 
 
 def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct ``(key_l, key_r)`` that share a key.
-
-    A key that more than ``COMMON_KEY`` rows of a side hold is a single weak one (a shared telephone, a common
-    part): its rows meet through their other keys, of which the pairs of segments stay selective.
-    """
+    """Distinct ``(key_l, key_r)`` that share a key, however many rows hold it."""
     kl, kr = _keys(left), _keys(right)
-    weak = F.col("k").rlike(r"^(T|f[^+]*\*|P|S|[ur]/)")
+    return kl.select(F.col("key").alias("key_l"), "k").join(kr.select(F.col("key").alias("key_r"), "k"), "k").select("key_l", "key_r").distinct()
 
-    def common(keys: DataFrame) -> DataFrame:
-        return keys.filter(weak).groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > COMMON_KEY).select("k")
 
-    hot = common(kl).union(common(kr)).distinct()
-    met = kl.select(F.col("key").alias("key_l"), "k").join(kr.select(F.col("key").alias("key_r"), "k"), "k").join(hot, "k", "left_anti")
-    return met.select("key_l", "key_r").distinct()
+def _variants(side: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that are equal but for their key as one, with ``key`` of its own and ``n``; and ``variant, key`` of all rows."""
+    own = [c for c in side.columns if c != "key"]
+    tagged = side.withColumn("variant", F.sha2(F.to_json(F.struct(*own)), 256))
+    return tagged.groupBy(F.col("variant").alias("key")).agg(*[F.first(c).alias(c) for c in own], F.count("*").alias("n")), tagged.select("variant", "key")
 
 
 def _vote(yes: Column, no: Column) -> Column:
@@ -151,7 +145,7 @@ def _vote(yes: Column, no: Column) -> Column:
 
 
 def voted(pairs: DataFrame) -> DataFrame:
-    """``key_l, key_r`` and the votes of candidates with structs ``x`` and ``y``."""
+    """``key_l, key_r``, the number ``n`` of row pairs and the votes of candidates with structs ``x`` and ``y``."""
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     d = names.distance("x", "y")
     # two parts, or one text long enough to be two parts written together
@@ -176,7 +170,7 @@ def voted(pairs: DataFrame) -> DataFrame:
     same_kind = F.when(person, given).otherwise(x("trade") == y("trade"))
     named = F.when(full, d <= F.when(x("b").isNull() | y("b").isNull(), JOINED_EDITS).otherwise(names.NAME_EDITS)).otherwise(one & sure(same_kind))
     return pairs.select(
-        "key_l", "key_r",
+        "key_l", "key_r", (x("n") * y("n")).alias("n"),
         _vote(named, full & ~sure(named)).alias("v_name"),
         _vote(one, x("a").isNotNull() & y("a").isNotNull()).alias("v_part"),
         _vote(both_id & (id_edits <= 2), both_id & (id_edits > 3)).alias("v_nit"),
@@ -247,18 +241,21 @@ def matched(entities: DataFrame, internal: DataFrame, reference: DataFrame) -> D
     right = read_side(internal, "internal_order", "razon_social", "direccion", "municipio", None, reference, "nit", "correo", *phones_r)
     left = cut(_side(left, "entidad_dedup_id", "nit", phones_l, "email_comercial"))
     right = cut(_side(right, "internal_order", "nit", phones_r, "correo"))
-    pairs = _candidates(left, right)
-    x = left.select(F.col("key").alias("key_l"), F.struct(*left.columns).alias("x"))
-    y = right.select(F.col("key").alias("key_r"), F.struct(*right.columns).alias("y"))
+    (once_l, rows_l), (once_r, rows_r) = _variants(left), _variants(right)
+    once_l, once_r = cut(once_l), cut(once_r)
+    pairs = _candidates(once_l, once_r)
+    x = once_l.select(F.col("key").alias("key_l"), F.struct(*once_l.columns).alias("x"))
+    y = once_r.select(F.col("key").alias("key_r"), F.struct(*once_r.columns).alias("y"))
     votes = cut(voted(pairs.join(x, "key_l").join(y, "key_r")))
     # at most 3 ** len(VOTES) patterns, whatever the data
-    seen = votes.groupBy(*VOTES).agg(F.count("*").alias("n")).toPandas()
+    seen = votes.groupBy(*VOTES).agg(F.sum("n").alias("n")).toPandas()
+    every = lambda df: df.join(rows_l.select(F.col("variant").alias("key_l"), F.col("key").alias("entidad_dedup_id")), "key_l").join(rows_r.select(F.col("variant").alias("key_r"), F.col("key").alias("internal_order")), "key_r")
     if seen.empty:
-        return votes.select(F.col("key_l").alias("entidad_dedup_id"), F.col("key_r").alias("internal_order"), F.lit(0.0).alias("confianza"), *VOTES)
+        return every(votes).select("entidad_dedup_id", "internal_order", F.lit(0.0).alias("confianza"), *VOTES)
     model = LabelModel(seen[VOTES].to_numpy(dtype=int), seen["n"].to_numpy())
     seen["confianza"] = model.posterior()
     # two complete names that differ are a match only if an identifier, a number or the door vouches for a shared part
     vouched = (seen["v_part"] == 1) & ((seen["v_nit"] == 1) | (seen["v_tail"] == 1) | (seen["v_phone"] == 1) | (seen["v_address"] == 1))
     seen.loc[(seen["v_name"] == -1) & ~vouched, "confianza"] = 0.0
     scores = votes.sparkSession.createDataFrame(seen[[*VOTES, "confianza"]].astype({v: "int8" for v in VOTES}), ", ".join(f"{v} tinyint" for v in VOTES) + ", confianza double")
-    return votes.join(F.broadcast(scores), VOTES).select(F.col("key_l").alias("entidad_dedup_id"), F.col("key_r").alias("internal_order"), "confianza", *VOTES)
+    return every(votes.join(F.broadcast(scores), VOTES)).select("entidad_dedup_id", "internal_order", "confianza", *VOTES)

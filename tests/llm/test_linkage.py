@@ -42,6 +42,17 @@ def test_matches(spark):
     assert got == wanted
 
 
+def test_a_key_of_many_rows_proposes_all_of_them(spark):
+    """A company of 210 entities and a name of one part: no other key, and copies besides."""
+    entities, internal, reference = data(spark)
+    many = [(f"m{i}", None, "PANADERIA FAMIDADRE", f"CL {500 + i // 2} # 3-1", "ALMIRA", "A", None, None, None) for i in range(210)]
+    entities = entities.unionByName(spark.createDataFrame(many, ENTITY).withColumn("key", F.lit("clash")))
+    internal = internal.unionByName(spark.createDataFrame([(k, None, "Panaderia Famidadre", None, None, None, None) for k in (950, 951)], INTERNAL).withColumn("town", F.lit("clash")))
+    got = linkage.matched(entities, internal, reference).filter("internal_order in (950, 951)").collect()
+    assert sorted((r.entidad_dedup_id, r.internal_order) for r in got) == sorted((m[0], k) for m in many for k in (950, 951))
+    assert all(r.v_part == 1 and r.v_name == 1 for r in got)
+
+
 def test_nothing_to_match(spark):
     entities, internal, reference = data(spark)
     assert linkage.matched(entities.limit(0), internal, reference).count() == 0
