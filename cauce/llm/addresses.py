@@ -1,9 +1,9 @@
-"""Addresses of one place written differently: exact parts first, then multi-pass sorted neighbourhoods.
+"""Addresses of one place written differently: exact parts first, then all that share one part and pieces of the other.
 
 Every address is read into parts (street number, plate, kind; or district and property). Equal parts form one
-vertex, however many rows carry it. Vertices are then sorted in several component orders, and each is compared
-with its neighbours in the sorted window: numbers, letters, BIS and direction must be equal, words may differ
-by an edit or two or by transposed letters. Each vertex points to the best neighbour that more rows write.
+vertex, however many rows carry it. Vertices then meet by an equal component and the pieces of the other that
+survive the edits allowed: numbers, letters, BIS and direction must be equal, words may differ by an edit or two
+or by transposed letters. Each vertex points to the best neighbour that more rows write.
 
 Defined results: null, blank and unreadable addresses and those without plate or property denote no place and
 get no class. Unit, neighbourhood and company do not matter. A missing or unusable municipality is compatible
@@ -12,19 +12,16 @@ with any. Repeated rows are members of the same class; an empty table gives an e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cauce.llm import links, places
+from cauce.llm import edits, links, places
 from cauce.llm.address_text import parse
 from cauce.session import cut
 
-#: Neighbours that each vertex is compared with in every sorted order. Equal vertices are one beforehand.
-WINDOW = 10
-
 
 def read_addresses(rows: DataFrame, reference: DataFrame) -> DataFrame:
     """``row_order, direccion_comercial, mun, kind, first, second, word`` of the rows that denote a place."""
@@ -50,10 +47,10 @@ def read_addresses(rows: DataFrame, reference: DataFrame) -> DataFrame:
 
 def _close(a: Column, b: Column) -> Column:
     """Within two edits in long words, one in short ones; or the same letters with few out of place."""
-    edits = F.levenshtein(a, b)
+    apart = F.levenshtein(a, b)
     shorter = F.least(F.length(a), F.length(b))
-    swapped = (F.array_join(F.array_sort(F.split(a, "")), "") == F.array_join(F.array_sort(F.split(b, "")), "")) & (edits <= 4)
-    return (a == b) | (edits <= F.when(shorter >= 7, 2).otherwise(1)) | swapped
+    swapped = (F.array_join(F.array_sort(F.split(a, "")), "") == F.array_join(F.array_sort(F.split(b, "")), "")) & (apart <= 4)
+    return (a == b) | (apart <= F.when(shorter >= 7, 2).otherwise(1)) | swapped
 
 
 def _same_place(x: Column, y: Column) -> Column:
@@ -67,30 +64,49 @@ def _same_place(x: Column, y: Column) -> Column:
     return (x["kind"] == y["kind"]) & F.when(x["kind"] == "u", street).otherwise(rural)
 
 
-def neighbour_edges(vertices: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Edges between vertices that meet in the window of some component order and denote the same place."""
-    orders = [("first", "second"), ("second", "first")]
-    found = None
-    for lead, other in orders:
-        # the block keeps the sort parallel; what it parts at its edges meets in the other order
-        w = Window.partitionBy("kind", F.substring(lead, 1, 4)).orderBy(lead, other, "word").rowsBetween(-window, -1)
-        me = F.struct("id", "kind", "first", "second", "word", "rank")
-        seen = vertices.select(me.alias("y"), F.collect_list(me).over(w).alias("near"))
-        met = seen.select("y", F.explode(F.filter("near", lambda x: _same_place(x, F.col("y")))).alias("x"))
-        edges = met.select(
-            F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.rank").alias("rank_a"), F.col("y.rank").alias("rank_b"),
-            (-F.levenshtein("x.first", "y.first") - F.levenshtein("x.second", "y.second")).alias("score"),
-        )
-        found = edges if found is None else found.unionByName(edges)
+def _edits(shorter: int) -> int:
+    """The edits of ``_close`` by the length of the shorter word."""
+    return 2 if shorter >= 7 else 1
+
+
+def _keys(words: pd.Series, one: Callable[[str], list[str]]) -> pd.Series:
+    # the sorted letters find words with letters out of place
+    return pd.Series([[*one(w), "~" + "".join(sorted(w))] for w in words])
+
+
+def _met(x: DataFrame, y: DataFrame, by: list[str]) -> DataFrame:
+    edges = x.join(y, by).filter((F.col("x.id") != F.col("y.id")) & _same_place(F.col("x"), F.col("y")))
+    return edges.select(
+        F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.rank").alias("rank_a"), F.col("y.rank").alias("rank_b"),
+        (-F.levenshtein("x.first", "y.first") - F.levenshtein("x.second", "y.second")).alias("score"),
+    )
+
+
+def neighbour_edges(vertices: DataFrame) -> DataFrame:
+    """All edges between vertices that denote the same place.
+
+    Doors share both numbers, and a kind that was not recognised meets all kinds. Rural places share one component
+    exactly; in the other one, a piece of the shorter word or all letters are intact whatever edits ``_close`` allows.
+    """
+    # made here: the module is also imported by workers, which have no session
+    own = F.pandas_udf(lambda s: _keys(s, lambda w: edits.own_pieces(w, _edits(len(w)))), "array<string>")
+    sought = F.pandas_udf(lambda s: _keys(s, lambda w: edits.sought_pieces(w, _edits, 2)), "array<string>")
+    me = F.struct("id", "kind", "first", "second", "word", "rank")
+    street, rural = vertices.filter("kind = 'u'"), vertices.filter("kind <> 'u'")
+    by = ["first", "second"]
+    found = _met(street.filter(F.col("word").startswith("?")).select(me.alias("x"), *by), street.select(me.alias("y"), *by), by)
+    for lead, other in (("first", "second"), ("second", "first")):
+        keyed = lambda side, f: rural.select(me.alias(side), "kind", F.col(lead).alias("lead"), F.explode(f(F.col(other))).alias("k"))  # noqa: B023, E731
+        found = found.unionByName(_met(keyed("x", own), keyed("y", sought), ["kind", "lead", "k"]))
     return found
 
 
-def classed(rows: DataFrame, reference: DataFrame, window: int = WINDOW) -> DataFrame:
+def classed(rows: DataFrame, reference: DataFrame) -> DataFrame:
     """``row_order, direccion_comercial, mun, lugar``: the place class of every row that denotes one."""
     read = cut(read_addresses(rows, reference).withColumn("id", F.concat_ws("/", "kind", "first", "second", "word")))
     counted = read.groupBy("id", "kind", "first", "second", "word").agg(F.count("*").alias("n"))
     vertices = counted.withColumn("rank", F.struct("n", "id"))
-    pointers = links.roots(links.best_neighbour(neighbour_edges(vertices, window)))
+    pointers = links.roots(links.best_neighbour(neighbour_edges(vertices)))
     return read.join(pointers, "id", "left").select("row_order", "direccion_comercial", "mun", F.coalesce("root", "id").alias("lugar"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 # Characters that are read or heard as one another, each group at the cost of half an edit.
@@ -65,3 +65,28 @@ def deletions(word: str, most: int) -> Iterator[str]:
     for k in range(min(most, len(word)) + 1):
         for gone in combinations(range(len(word)), k):
             yield "".join(c for i, c in enumerate(word) if i not in gone) if k else word
+
+
+def _pieces(n: int, edits: int) -> list[tuple[int, int, int]]:
+    return [(i, i * n // (edits + 1), (i + 1) * n // (edits + 1)) for i in range(edits + 1)]
+
+
+def own_pieces(word: str, edits: int) -> list[str]:
+    """The word cut into one piece more than ``edits``, so that one piece survives them; with its length and place."""
+    return [f"{len(word)}.{i}.{word[s:e]}" for i, s, e in _pieces(len(word), edits)]
+
+
+def sought_pieces(word: str, allowed: Callable[[int], int], widest: int) -> list[str]:
+    """What ``own_pieces`` of a word that is no longer, and within its ``allowed(length)`` <= ``widest`` edits, may leave in this one.
+
+    A piece moves by no more than the edits before it, and those after it, let it.
+    """
+    out, size = [], len(word)
+    for n in range(max(0, size - widest), size + 1):
+        edits, longer = allowed(n), size - n
+        if longer > edits:
+            continue
+        for i, s, e in _pieces(n, edits):
+            low, high = max(0, s - i, s + longer - (edits - i)), min(size - (e - s), s + i, s + longer + edits - i)
+            out += [f"{n}.{i}.{word[at : at + e - s]}" for at in range(low, high + 1)]
+    return list(dict.fromkeys(out))

@@ -2,6 +2,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cauce.llm import address_text, addresses, links, name_text, names
 
@@ -52,6 +53,22 @@ def test_same_place(spark):
     assert addresses.same_place_pairs(df.limit(0), reference).count() == 0
 
 
+def test_every_place_meets_every_other_of_its_district(spark):
+    """Against all pairs: errors in the first letters of either part, in districts and farm names of many places."""
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("BCDFGLMNRT") + rng.choice("AEIOU") for _ in range(n))
+    farms = [word(rng.randint(2, 4)) for _ in range(40)]
+    parts = [("r", d, f, "") for d in ("TORFLOCHANA", "PERDIGUERO") for f in farms]
+    parts += [("r", "TORFLOCHANA", f[1:], "") for f in farms[:20]] + [("r", "PERDIGUERO", f[1] + f[0] + f[2:], "") for f in farms[20:]] + [("r", "XORFLOCHANA", f, "") for f in farms[:9]]
+    parts += [("u", f"{i}", "2-3", w) for i in range(3) for w in ("CL", "KR", "?KR", "?CARRETERX", "CARRETERA")]
+    rows = sorted({("/".join(p), *p, (1, "/".join(p))) for p in parts})
+    vertices = spark.createDataFrame(rows, "id string, kind string, first string, second string, word string, rank struct<n: bigint, id: string>")
+    got = {tuple(sorted((r.a, r.b))) for r in addresses.neighbour_edges(vertices).collect()}
+    x, y = (vertices.select(F.struct("*").alias(s)) for s in "xy")
+    want = {tuple(r) for r in x.crossJoin(y).filter("x.id < y.id").filter(addresses._same_place(F.col("x"), F.col("y"))).select("x.id", "y.id").collect()}
+    assert got == want and any(a.startswith("r/TORFLOCHANA") and b.startswith("r/XORFLOCHANA") for a, b in got)
+
+
 @pytest.mark.parametrize(
     "a,b,same",
     [
