@@ -12,13 +12,13 @@ their class; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cauce.llm import links
+from cauce.llm import edits, links
 from cauce.llm.name_text import parse
 from cauce.session import cut
 
@@ -28,7 +28,7 @@ JOINED = 8
 PART_EDITS, NAME_EDITS = 3, 5
 #: Cost of one edit in the channel, in nats.
 EDIT_COST = 2.5
-#: Spellings with one part in common beyond which they must share a piece of the other part as well.
+#: Spellings with one part key in common beyond which they meet by the pieces of the other part that its edits leave.
 COMMON_PART = 300
 
 
@@ -105,23 +105,47 @@ def _edges(core_x: Column, core_y: Column) -> list[Column]:
     ]
 
 
+def _met_in_common(alone: DataFrame) -> DataFrame:
+    """``x, y`` of one common key whose other parts may be within the edits that ``part_distance`` allows, and few more.
+
+    One part may have ``PART_EDITS`` + 1 edits if the other has none. Of two spellings the shorter part is cut into
+    one piece more, and the longer one is searched for each of them. Where both parts of a name are alike, the other
+    part may also pair with the common one ("o") of the other spelling; two common ones are never paired.
+    """
+    most = PART_EDITS + 1
+
+    def keys(cut_up: Callable[[str], list[str]], rest_to: str, part_to: str) -> Callable[[pd.Series, pd.Series], pd.Series]:
+        def of(rests: pd.Series, parts: pd.Series) -> pd.Series:
+            return pd.Series([[t + k for w, to in ((r, rest_to), (p, part_to)) for k in cut_up(w) for t in to] for r, p in zip(rests, parts, strict=True)])
+
+        return of
+
+    # made here: the module is also imported by workers, which have no session
+    own = F.pandas_udf(keys(lambda w: edits.own_pieces(w, most), "r", "o"), "array<string>")
+    sought = F.pandas_udf(keys(lambda w: edits.sought_pieces(w, lambda n: most, most), "ro", "r"), "array<string>")
+    side = lambda v, f: alone.select(F.col("v").alias(v), F.explode(F.array_distinct(f("rest", "part"))).alias("piece"), "pk").select(v, F.xxhash64("pk", "piece").alias("k"))
+    return side("x", own).join(side("y", sought), "k").filter(F.col("x") != F.col("y")).select("x", "y")
+
+
 def whole_edges(read: DataFrame) -> DataFrame:
     """Edges among spellings of two parts that share a key of two intact segments, or one intact part."""
     me = F.struct("a", "b", "n")
     two = read.filter("b is not null")
     alone = two.select(me.alias("v"), F.inline(F.array(F.struct(F.col("a").alias("part"), F.col("b").alias("rest")), F.struct(F.col("b").alias("part"), F.col("a").alias("rest")))))
-    # a part that many spellings share would make a quadratic block: there a piece of the other part is asked for too
+    alone = alone.withColumn("pk", part_keys(F.col("part")))
+    # a key that many spellings share would make a quadratic block: there they meet by pieces of the other part
     # written first, so that the joins are planned by its true size and ``alone`` isn't shuffled for an empty list
-    common = cut(two.select(F.explode(F.array("a", "b")).alias("part")).groupBy("part").agg(F.count("*").alias("df")).filter(F.col("df") > COMMON_PART).select("part"))
-    pieces = F.array_distinct(F.array(F.substring("rest", 1, 3), F.substring("rest", 3, 3), F.substring("rest", -3, 3)))
+    common = cut(alone.groupBy("pk").agg(F.count("*").alias("df")).filter(F.col("df") > COMMON_PART).select("pk"))
     keyed = (
         two.select(me.alias("v"), F.explode(F.array(*pair_keys(F.col("a"), F.col("b")))).alias("key"))
-        .unionByName(alone.join(common, "part", "left_anti").select("v", part_keys(F.col("part")).alias("key")))
-        .unionByName(alone.join(common, "part", "left_semi").select("v", F.explode(F.transform(pieces, lambda x: F.concat_ws("*", "part", x))).alias("key")))
+        .unionByName(alone.join(common, "pk", "left_anti").select("v", F.col("pk").alias("key")))
         .select(F.xxhash64("key").alias("k"), "v")
     )
     x, y = keyed.withColumnRenamed("v", "x"), keyed.withColumnRenamed("v", "y")
-    met = x.join(y, (x.k == y.k) & (F.col("x") < F.col("y"))).select("x", "y", part_distance(F.col("x.a"), F.col("x.b"), F.col("y.a"), F.col("y.b")).alias("d"))
+    met = x.join(y, (x.k == y.k) & (F.col("x") < F.col("y"))).select("x", "y")
+    if not common.isEmpty():
+        met = met.unionByName(_met_in_common(alone.join(common, "pk", "left_semi")))
+    met = met.select("x", "y", part_distance(F.col("x.a"), F.col("x.b"), F.col("y.a"), F.col("y.b")).alias("d"))
     return met.filter(F.col("d") <= NAME_EDITS).select(*_edges(F.concat_ws(" ", "x.a", "x.b"), F.concat_ws(" ", "y.a", "y.b")))
 
 

@@ -101,3 +101,26 @@ def test_a_common_part_makes_no_block_of_all(spark, monkeypatch):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row_order bigint, razon_social_normalizada string")
     classes = {r.row_order: r.clase for r in names.classed(df).collect()}
     assert all(classes[40 + i] == classes[i] for i in range(10))
+
+
+def test_a_common_part_loses_no_edge(spark, monkeypatch):
+    """The edges are the same on either side of the bound: edits without an intact piece, misspelt common parts, parts alike."""
+    rng = random.Random(10)
+    words = ["".join(rng.choice("BCMRT") + rng.choice("AEO") for _ in range(rng.randint(2, 5))) for _ in range(60)]
+
+    def typo(w, n):
+        for _ in range(n):
+            i = rng.randrange(len(w))
+            w = w[:i] + rng.choice(["", "X", w[i] + "Z"]) + w[i + 1 :]
+        return w or "X"
+
+    pairs = [("RODRIGUEZ", w) for w in ["MORENO", "NOREMO", *words, *[typo(w, rng.randint(1, 4)) for w in words]]]
+    pairs += [(p, typo(w, 2)) for p in ("RODRRIGUEZ", "RODRIXGUEZ", "RODROGUEZ") for w in words[:20]] + [("RODRIGUEZ", "RODRYGUES"), ("RODRIGEUZ", "RODRIGUEZ"), ("RODRIXGUEZ", "ROTRIGUEZ"), ("RODRIGUEZ", "ROTRIGUEZX")]
+    cores = sorted({" ".join(sorted(p)) for p in pairs})
+    read = spark.createDataFrame([(c, 1 + i % 7) for i, c in enumerate(cores)], "core string, n long").select(*names.parts_of(F.col("core")), "n")
+    found = []
+    for bound in (5, 100_000):
+        monkeypatch.setattr(names, "COMMON_PART", bound)
+        found.append({(*sorted((r.a, r.b)), round(r.score, 6)) for r in names.whole_edges(read).collect()})
+    assert found[1] <= found[0] and ("MORENO RODRIGUEZ", "NOREMO RODRIGUEZ") in {e[:2] for e in found[0]}
+    assert found[0] == found[1]
