@@ -236,6 +236,21 @@ def ded15(spark: SparkSession, d: str) -> DataFrame:
     return found.select("entidad_dedup_id", "campo", F.array_join("valores", "|").alias("valores"))
 
 
+@R.query(
+    "ded15_conflicts_all",
+    f"WITH j AS (SELECT g.entidad_dedup_id, {', '.join('n.' + c for c in dedup.FIELDS)} FROM {N} n JOIN {G} g USING (row_order)), "
+    f"l AS ({' UNION ALL '.join(f"SELECT entidad_dedup_id, '{c}' AS campo, CAST({c} AS VARCHAR) AS v FROM j" for c in dedup.FIELDS)}) "
+    "SELECT entidad_dedup_id, campo, string_agg(DISTINCT v, '|' ORDER BY v) AS valores FROM l WHERE v IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT v) > 1",
+)
+def ded15_all(spark: SparkSession, d: str) -> DataFrame:
+    """The conflicts of every canonical field; ``ded15_conflicts`` has three of them."""
+    # an entity of one row has no conflict: most rows need not be taken apart into fields
+    members = table(spark, d, G, "row_order", "entidad_dedup_id")
+    several = members.groupBy("entidad_dedup_id").agg(F.count("*").alias("n")).filter("n > 1").select("entidad_dedup_id")
+    grouped = table(spark, d, N).join(members.join(several, "entidad_dedup_id", "left_semi"), "row_order")
+    return dedup.conflict_values(grouped).select("entidad_dedup_id", "campo", F.array_join("valores", "|").alias("valores"))
+
+
 def _open(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, N).join(table(spark, d, G, "row_order", "metodo_deduplicacion").filter("metodo_deduplicacion = 'sin_consolidar'"), "row_order")
 
