@@ -286,6 +286,14 @@ def ded9(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, N).filter(name.isNotNull()).select("row_order", token_sort_ratio(name, F.array_join(F.reverse(F.split(name, " ")), " ")).alias("ratio"))
 
 
+@R.query("ded9_ratio_merged")
+def ded9_merged(spark: SparkSession, d: str) -> DataFrame:
+    """Every row's name against the merged name of its entity; no SQL, because DuckDB has no longest common subsequence."""
+    own = table(spark, d, N, "row_order", F.col("razon_social_normalizada").alias("a")).filter("a is not null").join(table(spark, d, G, "row_order", "entidad_dedup_id"), "row_order")
+    merged = table(spark, d, E, "entidad_dedup_id", tx.comparison_text(F.col("razon_social")).alias("b"))
+    return own.join(merged, "entidad_dedup_id").select("row_order", token_sort_ratio(F.col("a"), F.col("b")).alias("ratio"))
+
+
 @R.query(
     "ded16_stats",
     f"WITH {_KEYS} SELECT metodo AS metodo_deduplicacion, count(*) AS filas, count(DISTINCT ent) AS entidades FROM e GROUP BY 1",

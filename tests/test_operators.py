@@ -53,6 +53,29 @@ def test_conflicts_of_every_field(spark, tmp_path):
     assert all(f"'{f}' AS campo" in entry.oracle_sql()["ded15_conflicts_all"] for f in dedup.FIELDS)
 
 
+def test_ratio_of_different_names(spark, tmp_path):
+    """Against the longest common subsequence by the textbook table."""
+    import __spark_entry__ as entry
+
+    def ratio(a, b):
+        a, b = (" ".join(sorted(t.split())) for t in (a, b))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return 200.0 * best[-1][-1] / (len(a) + len(b))
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("ABCD") for _ in range(rng.randint(1, 30)))
+    rows = [(i, " ".join(word() for _ in range(rng.randint(1, 4))), f"e{i % 7}") for i in range(60)]
+    merged = {f"e{k}": " ".join(word() for _ in range(3)) for k in range(7)}
+    spark.createDataFrame([r[:2] for r in rows] + [(99, None)], "row_order bigint, razon_social_normalizada string").write.parquet(str(tmp_path / "empresas_normalizado.parquet"))
+    spark.createDataFrame([(r[0], r[2]) for r in rows] + [(99, "e0")], "row_order bigint, entidad_dedup_id string").write.parquet(str(tmp_path / "grupos_deduplicacion.parquet"))
+    spark.createDataFrame(list(merged.items()), "entidad_dedup_id string, razon_social string").write.parquet(str(tmp_path / "empresas_deduplicado.parquet"))
+    got = {r.row_order: r.ratio for r in entry.queries()["ded9_ratio_merged"](spark, str(tmp_path)).collect()}
+    assert got == pytest.approx({i: ratio(n, merged[e]) for i, n, e in rows}) and len({round(x) for x in got.values()}) > 10
+
+
 def test_candidates(spark):
     rows = registry(spark, ROWS).filter("row_order between 8 and 10")
     found = dedup.name_place_candidates(rows).collect()
