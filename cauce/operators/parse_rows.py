@@ -13,20 +13,15 @@ an empty table gives empty results, and other columns of the input are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cauce.functions.text import NULL_MARKERS, NULL_MARKERS_UNREACHABLE
 
-#: The most source descriptions that are read to the driver; the catalogue is a fixed table.
-MAX_SCHEMAS = 10_000
-
-#: Java's matcher recurses once per repetition, so longer rows go through the same patterns in Python, which does not.
-LONG_ROW = 1_000
+#: The most source descriptions that are read to the driver, and the most schemas among them; each schema is a branch of one expression.
+MAX_SOURCES, MAX_SCHEMAS = 10_000, 200
 
 # Header names by canonical column.
 CANONICAL = {
@@ -46,10 +41,11 @@ CANONICAL = {
 
 
 #: What a typed column may hold, without the quotes around it; ``~`` stands for white space other than the delimiter.
-_NOTHING = "~*(?i:" + "|".join(re.escape(m).replace(r"\ ", "~+") for m in sorted({*NULL_MARKERS, *NULL_MARKERS_UNREACHABLE}, reverse=True)) + ")~*"
+#: All repetitions are possessive: what they take is never given back, so rows of any length need no recursion.
+_NOTHING = "~*+(?i:" + "|".join(re.escape(m).replace(r"\ ", r"~++") for m in sorted({*NULL_MARKERS, *NULL_MARKERS_UNREACHABLE}, reverse=True)) + ")~*+"
 RULES = {
-    "nit": rf"(?:{_NOTHING}|~*[. \-]*(?:[0-9][. \-]*){{6,11}}~*)",
-    "num_empleados": rf"(?:{_NOTHING}|~*(?:0*[0-9]{{1,5}}|0?[0-9]{{1,2}}[.,][0-9]{{3}})~*)",
+    "nit": rf"(?:{_NOTHING}|~*+[. \-]*+(?:[0-9][. \-]*+){{6,11}}+~*+)",
+    "num_empleados": rf"(?:{_NOTHING}|~*+(?:0*[0-9]{{1,5}}|0?[0-9]{{1,2}}[.,][0-9]{{3}})~*+)",
 }
 
 
@@ -77,7 +73,7 @@ class Schema:
     def field(self, rule: str | None = None) -> str:
         d = re.escape(self.delimiter)
         if rule is None:
-            return rf'(?:"[^"]*(?:""[^"]*)*"|(?!")[^{d}]*)'
+            return rf'(?:"[^"]*+(?:""[^"]*+)*+"|(?!")[^{d}]*+)'
         rule = rule.replace("~", rf"[^\S{d}]")
         return rf'(?:"{rule}"|(?!"){rule})'
 
@@ -91,7 +87,7 @@ class Schema:
     def quoted(self) -> str:
         """Any number of well-quoted fields."""
         f, d = self.field(), re.escape(self.delimiter)
-        return rf"^{f}(?:{d}{f})*\z"
+        return rf"^{f}(?:{d}{f})*+\z"
 
     def counted(self) -> str:
         """As many well-quoted fields as the header has, whatever they hold."""
@@ -109,13 +105,15 @@ class Schema:
 
 def schemas(catalogue: DataFrame) -> dict[Schema, list[str]]:
     """The distinct schemas of the source catalogue with their sources."""
-    rows = catalogue.select("source_id", "delimitador", "encabezado").limit(MAX_SCHEMAS + 1).collect()
-    if len(rows) > MAX_SCHEMAS:
-        raise ValueError(f"more than {MAX_SCHEMAS} sources in the catalogue")
+    rows = catalogue.select("source_id", "delimitador", "encabezado").limit(MAX_SOURCES + 1).collect()
+    if len(rows) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources in the catalogue")
     out: dict[Schema, list[str]] = {}
     for r in rows:
         if r.source_id is not None and r.delimitador and r.encabezado is not None:
             out.setdefault(Schema.of(r.delimitador, r.encabezado), []).append(r.source_id)
+    if len(out) > MAX_SCHEMAS:
+        raise ValueError(f"more than {MAX_SCHEMAS} schemas in the catalogue")
     return out
 
 
@@ -144,62 +142,14 @@ def _broken(line: Column, s: Schema) -> Column:
     return out
 
 
-def _judge_long(known: dict[Schema, list[str]]):
-    """The same patterns by Python's matcher, for long rows only."""
-    by_source = {x: s for s, sources in known.items() for x in sources}
-
-    def fix(pattern: str) -> re.Pattern:
-        return re.compile(pattern.replace(r"\z", r"\Z"))
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        made: dict[Schema, tuple] = {}
-        for b in batches:
-            reason, broken = [], []
-            for source, line in zip(b["source_id"], b["linea"], strict=True):
-                s = by_source.get(source)
-                if s is None:
-                    reason.append("columnas"), broken.append(None)
-                    continue
-                if s not in made:
-                    made[s] = (fix(s.row()), fix(s.quoted()), fix(s.counted()), [(k, fix(p)) for k, p in s.typed()], [(n, fix(s.row(k))) for k, n in enumerate(s.header, 1)])
-                row, quoted, counted, typed, prefixes = made[s]
-                if row.match(line):
-                    reason.append(None), broken.append(None)
-                    continue
-                broken.append(next((n for n, p in prefixes if not p.match(line)), None))
-                reason.append("comillas" if not quoted.match(line) else "columnas" if not counted.match(line) else next(k for k, p in typed if not p.match(line)))
-            yield b.assign(motivo=reason, campo_roto=broken)
-
-    return judge
-
-
-def _cut_long(known: dict[Schema, list[str]]):
-    by_source = {x: s for s, sources in known.items() for x in sources}
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for source, line in zip(b["source_id"], b["linea"], strict=True):
-                s = by_source[source]
-                groups = re.match(s.row(groups=True).replace(r"\z", r"\Z"), line).groups()
-                out.append([groups[s.canonical.index(k)] if k in s.canonical else "" for k in CANONICAL])
-            yield pd.DataFrame({"linea_id": b["linea_id"], "source_id": b["source_id"], "_f": out})
-
-    return cut
-
-
 def judged(records: DataFrame, catalogue: DataFrame) -> DataFrame:
     """``linea_id, source_id, linea, motivo, campo_roto`` of every record; ``motivo`` is null where the row loads."""
     known = schemas(catalogue)
     rows = records.select("linea_id", "source_id", F.coalesce("linea", F.lit("")).alias("linea"))
-    line, unknown = F.col("linea"), F.lit("columnas")
-    short = (
-        rows.filter(F.length("linea") <= LONG_ROW)
-        .withColumn("motivo", _case(known, lambda s: _reason(line, s), unknown))
-        .withColumn("campo_roto", F.when(F.col("motivo").isNotNull(), _case(known, lambda s: _broken(line, s), F.lit(None).cast("string"))))
+    line = F.col("linea")
+    return rows.withColumn("motivo", _case(known, lambda s: _reason(line, s), F.lit("columnas"))).withColumn(
+        "campo_roto", F.when(F.col("motivo").isNotNull(), _case(known, lambda s: _broken(line, s), F.lit(None).cast("string")))
     )
-    schema = "linea_id bigint, source_id string, linea string, motivo string, campo_roto string"
-    return short.unionByName(rows.filter(F.length("linea") > LONG_ROW).mapInPandas(_judge_long(known), schema))
 
 
 def rejected(records: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -214,22 +164,23 @@ def loaded(records: DataFrame, catalogue: DataFrame) -> DataFrame:
     """
     known = schemas(catalogue)
     good = judged(records, catalogue).filter("motivo is null")
-    mark = "\u0001"
     names = list(CANONICAL)
+    # the groups come as one text parted by a mark; where a row has the mark itself, it is written otherwise meanwhile
+    mark, escape = "\u0001", "\u0002"
+    line = F.replace(F.replace("linea", F.lit(escape), F.lit(escape + "b")), F.lit(mark), F.lit(escape + "a"))
 
     def fields(s: Schema) -> Column:
         canonical = s.canonical
         picked = mark.join(f"${canonical.index(k) + 1}" if k in canonical else "" for k in names)
-        return F.split(F.regexp_replace("linea", s.row(groups=True), picked), mark, -1)
+        return F.split(F.regexp_replace(line, s.row(groups=True), picked), mark, -1)
 
-    short = good.filter(F.length("linea") <= LONG_ROW).withColumn("_f", _case(known, fields, F.array().cast("array<string>")))
-    long = good.filter(F.length("linea") > LONG_ROW).mapInPandas(_cut_long(known), "linea_id bigint, source_id string, _f array<string>")
-    parts = short.select("linea_id", "source_id", "_f").unionByName(long)
+    parts = good.withColumn("_f", _case(known, fields, F.array().cast("array<string>")))
 
     def field(i: int) -> Column:
         raw = F.get("_f", F.lit(i))
         bare = F.when(raw.startswith('"'), F.replace(F.expr(f"substring(_f[{i}], 2, length(_f[{i}]) - 2)"), F.lit('""'), F.lit('"'))).otherwise(raw)
-        return F.nullif(F.trim(bare), F.lit(""))
+        own = F.replace(F.replace(bare, F.lit(escape + "a"), F.lit(mark)), F.lit(escape + "b"), F.lit(escape))
+        return F.nullif(F.trim(own), F.lit(""))
 
     return parts.select("linea_id", "source_id", *[field(i).alias(k) for i, k in enumerate(names)])
 

@@ -56,11 +56,35 @@ def p7_report(spark: SparkSession, folder: str) -> DataFrame:
     return parse_rows.load_report(table(spark, folder, "registros_crudos"), table(spark, folder, "fuentes"))
 
 
-@R.query("p7_loaded")
+_NAMES = {k: ", ".join(f"'{n}'" for n in names) for k, names in parse_rows.CANONICAL.items()}
+_RAW = "CASE WHEN x{k} LIKE '\"%' THEN replace(substr(x{k}, 2, length(x{k}) - 2), '\"\"', '\"') ELSE x{k} END"
+_LOADED = (
+    _JUDGE
+    + ", g AS (SELECT q.linea_id, q.source_id, q.linea, q.n, q.d, q.fld, list_transform(f.h, lambda x: upper(trim(x))) AS h FROM q JOIN j USING (linea_id) JOIN f ON q.source_id = f.source_id WHERE j.motivo IS NULL), "
+    + "i AS (SELECT *, " + ", ".join(f"list_position(list_transform(h, lambda x: x IN ({v})), true) AS i{k}" for k, v in enumerate(_NAMES.values())) + " FROM g), "
+    + "e AS (SELECT linea_id, source_id, " + ", ".join(
+        f"CASE WHEN i{k} > 0 THEN regexp_extract(linea, '(?s)^' || repeat(fld || d, CAST(i{k} - 1 AS BIGINT)) || '(' || fld || ')' || repeat(d || fld, CAST(n - i{k} AS BIGINT)) || '$', 1) END AS x{k}" for k in range(len(_NAMES))
+    ) + " FROM i) "
+    + "SELECT linea_id, source_id, " + ", ".join(f"nullif(trim({_RAW.format(k=k)}), '') AS {name}" for k, name in enumerate(_NAMES)) + " FROM e"
+)
+
+# A field's own rule is spelt out where it has one; the first prefix that fails ends at the broken field.
+_BROKEN = (
+    _JUDGE
+    + ", ws AS (SELECT source_id, '[ ' || CASE WHEN d = '\\t' THEN '' ELSE '\\t' END || '\\n\\r\\f\\x0b]*' AS w FROM f), "
+    + "rules AS (SELECT source_id, w || '(?i:|N/A|NA|NO +REPORTA|NO +APLICA|NO +REPORTADO|SIN +DATO|<NA>|NAN|NAT|NULL|NONE)' || w AS none, w || '[. -]*(?:[0-9][. -]*){6,11}' || w AS nit, w || '(?:0*[0-9]{1,5}|0?[0-9]{1,2}[.,][0-9]{3})' || w AS emp FROM ws), "
+    + f"flds AS (SELECT f.source_id, f.d, f.h, list_transform(f.h, lambda x: CASE WHEN upper(trim(x)) IN ({_NAMES['nit']}) THEN '(?:\"(?:' || none || '|' || nit || ')\"|(?:' || none || '|' || nit || '))' WHEN upper(trim(x)) IN ({_NAMES['num_empleados']}) THEN '(?:\"(?:' || none || '|' || emp || ')\"|(?:' || none || '|' || emp || '))' ELSE s.fld END) AS p FROM f JOIN s USING (source_id) JOIN rules USING (source_id)), "
+    + "b AS (SELECT j.linea_id, j.source_id, j.motivo, q.linea, x.d, x.h, x.p FROM j JOIN q USING (linea_id) LEFT JOIN flds x ON j.source_id = x.source_id WHERE j.motivo IS NOT NULL), "
+    + "k AS (SELECT *, list_filter(range(1, len(h) + 1), lambda k: NOT regexp_matches(linea, '(?s)^' || list_reduce(p[1:k], lambda a, b: a || d || b) || CASE WHEN k < len(h) THEN d ELSE '$' END))[1] AS roto FROM b) "
+    + "SELECT linea_id, source_id, motivo, trim(h[roto]) AS campo_roto FROM k"
+)
+
+
+@R.query("p7_loaded", _LOADED)
 def p7_loaded(spark: SparkSession, folder: str) -> DataFrame:
     return parse_rows.loaded(table(spark, folder, "registros_crudos"), table(spark, folder, "fuentes"))
 
 
-@R.query("p7_broken_field")
+@R.query("p7_broken_field", _BROKEN)
 def p7_broken_field(spark: SparkSession, folder: str) -> DataFrame:
     return parse_rows.rejected(table(spark, folder, "registros_crudos"), table(spark, folder, "fuentes"))
