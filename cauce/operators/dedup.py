@@ -20,12 +20,12 @@ from cauce.functions.text import comparison_text, digits, placeholder_id
 from cauce.operators.numbering import numbered
 from cauce.session import cut
 
-# The canonical fields.
-FIELDS = (
-    "nit matricula matricula_establecimiento razon_social tipo_organizacion estado_matricula fecha_matricula fecha_renovacion ultimo_ano_renovado fecha_constitucion direccion_comercial "
-    "barrio_comercial municipio_comercial departamento telefono_comercial_1 telefono_comercial_2 telefono_comercial_3 email_comercial ciiu_1 ciiu_2 ciiu_3 ciiu_4 actividad_descripcion "
-    "tamano_empresa num_empleados activo_total representante_legal grupo_niif bic categoria_matricula"
-).split()
+# The canonical fields, in their order.
+FIELDS = [
+    "nit", "matricula", "matricula_establecimiento", "razon_social", "tipo_organizacion", "estado_matricula", "fecha_matricula", "fecha_renovacion", "ultimo_ano_renovado", "fecha_constitucion",
+    "direccion_comercial", "barrio_comercial", "municipio_comercial", "departamento", "telefono_comercial_1", "telefono_comercial_2", "telefono_comercial_3", "email_comercial", "ciiu_1", "ciiu_2",
+    "ciiu_3", "ciiu_4", "actividad_descripcion", "tamano_empresa", "num_empleados", "activo_total", "representante_legal", "grupo_niif", "bic", "categoria_matricula",
+]
 LINEAGE = ["source_id", "fuente_archivo", "hoja_origen", "fila_origen"]
 
 # Similarity of candidates, largest block compared, digits of a usable tax id in a business key.
