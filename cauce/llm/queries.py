@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cauce.llm import addresses, chunks, leaks, linkage, mixture, names, places, survivors, variety
-from cauce.llm.oracle import P1_FOUND
+from cauce.llm.oracle import P1_FOUND, P1_SURVIVORS
 from cauce.plans.registry import Registry
 from cauce.sources.tables import table
 
@@ -71,7 +71,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return survivors.guides(*_grouped(spark, folder))
 
 
-@R.query("p1_survivors")
+@R.query("p1_survivors", P1_SURVIVORS)
 def p1_survivors(spark: SparkSession, folder: str) -> DataFrame:
     return survivors.survivors(*_grouped(spark, folder))
 
