@@ -25,6 +25,8 @@ from cauce.llm.tokens import VOCABULARY, encoder
 
 #: Tokens of a piece at most, and tokens it shares with the piece before.
 LIMIT, OVERLAP = 512, 64
+#: Pieces that a task holds before it passes them on.
+AT_ONCE = 4096
 #: A character takes at most this many tokens more than one.
 CHARACTER = 3
 #: The strengths of boundaries.
@@ -115,13 +117,17 @@ def split(documents: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, voca
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["doc_id", "pieza", "n_tokens", "n_solape", "desde", "hasta", "text"]
         for b in batches:
             rows = []
             for doc, text in zip(b["doc_id"], b["text"], strict=True):
                 raw = text.encode()
                 for k, (start, _, end, n, shared) in enumerate(pieces(text, limit, overlap, vocabulary)):
                     rows.append((doc, k, n, shared, start, end, raw[start:end].decode()))
-            yield pd.DataFrame(rows, columns=["doc_id", "pieza", "n_tokens", "n_solape", "desde", "hasta", "text"])
+                    if len(rows) == AT_ONCE:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows = []
+            yield pd.DataFrame(rows, columns=columns)
 
     schema = "doc_id bigint, pieza int, n_tokens int, n_solape int, desde bigint, hasta bigint, text string"
     return documents.select("doc_id", "text").filter("text is not null").mapInPandas(cut, schema)
