@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cauce.llm import addresses, chunks, leaks, linkage, mixture, names, places, survivors, variety
 from cauce.llm.oracle import P1_FOUND, P1_SURVIVORS
 from cauce.plans.registry import Registry
+from cauce.session import cut
 from cauce.sources.tables import table
 
 R = Registry()
@@ -28,12 +29,20 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return addresses.same_place_pairs(table(spark, folder, "empresas_normalizado"), table(spark, folder, "municipios_referencia"))
 
 
+def _placed(spark: SparkSession, folder: str) -> DataFrame:
+    return addresses.classed(table(spark, folder, "empresas_normalizado"), table(spark, folder, "municipios_referencia"))
+
+
 @R.query("p4_classes")
 def p4_classes(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per address row: its place class and how many rows lie there."""
-    classed = addresses.classed(table(spark, folder, "empresas_normalizado"), table(spark, folder, "municipios_referencia"))
-    size = classed.groupBy("lugar").agg(F.count("*").alias("filas"))
-    return classed.select("row_order", "lugar").join(size, "lugar")
+    """One row per address row: its place class, its municipality and how many rows are of that class."""
+    return addresses.members(cut(_placed(spark, folder)))
+
+
+@R.query("p4_links")
+def p4_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The classes of unknown municipality, with those they may be the same as."""
+    return addresses.class_links(cut(_placed(spark, folder)))
 
 
 @R.query("p3_found")

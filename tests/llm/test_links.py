@@ -63,10 +63,28 @@ def test_every_place_meets_every_other_of_its_district(spark):
     parts += [("u", f"{i}", "2-3", w) for i in range(3) for w in ("CL", "KR", "?KR", "?CARRETERX", "CARRETERA")]
     rows = sorted({("/".join(p), *p, (1, "/".join(p))) for p in parts})
     vertices = spark.createDataFrame(rows, "id string, kind string, first string, second string, word string, rank struct<n: bigint, id: string>")
-    got = {tuple(sorted((r.a, r.b))) for r in addresses.neighbour_edges(vertices).collect()}
     x, y = (vertices.select(F.struct("*").alias(s)) for s in "xy")
     want = {tuple(r) for r in x.crossJoin(y).filter("x.id < y.id").filter(addresses._same_place(F.col("x"), F.col("y"))).select("x.id", "y.id").collect()}
-    assert got == want and any(a.startswith("r/TORFLOCHANA") and b.startswith("r/XORFLOCHANA") for a, b in got)
+    assert any(a.startswith("r/TORFLOCHANA") and b.startswith("r/XORFLOCHANA") for a, b in want)
+    for window in (2, 10, 200):
+        got = {tuple(sorted((r.a, r.b))) for r in addresses.neighbour_edges(vertices, window=window).collect()}
+        assert got == want
+
+
+def test_windows_cross_the_edges_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(addresses, "BLOCK", 7)
+    rows = [(f"u/{i // 3}/2-3/{w}", "u", f"{i // 3:03d}", "2-3", w, (1, f"{i}")) for i in range(90) for w in [("CL", "?CALLX", "?CALLEX")[i % 3]]]
+    vertices = spark.createDataFrame(rows, "id string, kind string, first string, second string, word string, rank struct<n: bigint, id: string>")
+    got = {tuple(sorted((r.a, r.b))) for r in addresses.window_edges(vertices, "first", "word", window=3).collect()}
+    assert got == {tuple(sorted(p)) for k in range(30) for p in itertools.combinations([f"u/{k}/2-3/{w}" for w in ("CL", "?CALLX", "?CALLEX")], 2)}
+
+
+def test_a_class_has_one_town(spark):
+    rows = spark.createDataFrame([(1, "p", "A"), (2, "p", "A"), (3, "p", "B"), (4, "p", None), (5, "q", "A"), (6, "q", None), (7, "s", None), (8, "s", None)], "row_order bigint, lugar string, mun string")
+    got = {r.row_order: (r.clase, r.codigo_dane, r.filas) for r in addresses.members(rows).collect()}
+    assert got == {1: ("p@A", "A", 2), 2: ("p@A", "A", 2), 3: ("p@B", "B", 1), 4: ("p@", None, 1), 5: ("q@A", "A", 2), 6: ("q@A", None, 2), 7: ("s@", None, 2), 8: ("s@", None, 2)}
+    assert sorted(tuple(r) for r in addresses.class_links(rows).collect()) == [("p@", "p@A"), ("p@", "p@B")]
+    assert addresses.members(rows.limit(0)).count() == 0 and addresses.class_links(rows.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize(
