@@ -26,7 +26,11 @@ from cauce.llm.address_text import parse as parse_address
 from cauce.llm.name_text import parse as parse_name
 from cauce.session import cut
 
-VOTES = ["v_name", "v_part", "v_nit", "v_tail", "v_phone", "v_stub", "v_email", "v_place", "v_address", "v_kind"]
+VOTES = ["v_name", "v_part", "v_nit", "v_tail", "v_phone", "v_stub", "v_email", "v_place", "v_address", "v_kind", "v_vouch"]
+#: What is believed before any data: ``(class, vote, its value, other vote, its value)`` as often as this share of all
+#: candidates. Complete names that differ are one company if something vouches for a part they share, else they are not.
+BELIEFS = [(1, "v_name", -1, "v_vouch", 1), (0, "v_name", -1, "v_vouch", -1)]
+BELIEF = 0.02
 #: Extra weight of the first votes (name, part, identifier) where EM starts.
 START = np.array([2.0, 1.0, 2.0])
 #: Letters of a joined name that are two parts for sure, and the edits between a joined name and two parts.
@@ -124,7 +128,8 @@ def _keys(side: DataFrame) -> DataFrame:
         F.concat(F.lit("N"), F.col("base")), F.concat(F.lit("N"), F.substring("base", 1, 9)), F.when(F.col("address").isNotNull() & F.col("town").isNotNull(), F.concat_ws("@", "address", "town")),
     ))
     dialled = F.transform("phones", lambda p: F.concat(F.lit("T"), p))
-    return side.select("key", F.explode(F.array_distinct(F.concat(named, dialled))).alias("k"))
+    # hashes of keys: two keys with one hash only propose a candidate more
+    return side.select("key", F.explode(F.array_distinct(F.transform(F.concat(named, dialled), lambda x: F.xxhash64(x)))).alias("k"))
 
 
 def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -136,7 +141,7 @@ def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
 def _variants(side: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that are equal but for their key as one, with ``key`` of its own and ``n``; and ``variant, key`` of all rows."""
     own = [c for c in side.columns if c != "key"]
-    tagged = side.withColumn("variant", F.sha2(F.to_json(F.struct(*own)), 256))
+    tagged = side.withColumn("variant", F.unhex(F.md5(F.to_json(F.struct(*own)))))
     return tagged.groupBy(F.col("variant").alias("key")).agg(*[F.first(c).alias(c) for c in own], F.count("*").alias("n")), tagged.select("variant", "key")
 
 
@@ -168,7 +173,9 @@ def voted(pairs: DataFrame) -> DataFrame:
     person = (F.size(x("given")) > 0) & (F.size(y("given")) > 0)
     given = F.arrays_overlap(x("given"), y("given"))
     same_kind = F.when(person, given).otherwise(x("trade") == y("trade"))
+    numbers = sure(id_edits <= 2) & both_id | sure(tails.isNotNull() & (F.length(whole) >= 8) & tail_hit) | sure(shared_phone) | sure(x("address") == y("address"))
     named = F.when(full, d <= F.when(x("b").isNull() | y("b").isNull(), JOINED_EDITS).otherwise(names.NAME_EDITS)).otherwise(one & sure(same_kind))
+    vouched = one & numbers
     return pairs.select(
         "key_l", "key_r", (x("n") * y("n")).alias("n"),
         _vote(named, full & ~sure(named)).alias("v_name"),
@@ -181,14 +188,16 @@ def voted(pairs: DataFrame) -> DataFrame:
         _vote(x("town") == y("town"), x("town") != y("town")).alias("v_place"),
         _vote(x("address") == y("address"), x("address") != y("address")).alias("v_address"),
         _vote(same_kind, F.when(person, ~given).otherwise((x("trade") != y("trade")) | (x("trade").isNotNull() & (F.size(y("given")) > 0)) | (y("trade").isNotNull() & (F.size(x("given")) > 0)))).alias("v_kind"),
+        _vote(full & ~sure(named) & vouched, full & ~sure(named)).alias("v_vouch"),
     )
 
 
 class LabelModel:
     """Two latent classes; in each, the votes form a tree of dependences. Fitted by EM on pattern counts."""
 
-    def __init__(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> None:
+    def __init__(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 60, beliefs: list[tuple[int, int, int, int, int, float]] | None = None) -> None:
         self.patterns, self.counts = patterns + 1, counts.astype(float)  # votes become 0, 1, 2
+        self.beliefs = beliefs or []
         raw = patterns.astype(float)
         post = 1 / (1 + np.exp(-(raw @ np.ones(raw.shape[1]) + START @ raw.T[: len(START)] - 1.0)))
         for _ in range(rounds):
@@ -200,9 +209,9 @@ class LabelModel:
 
     def _fit(self, post: np.ndarray) -> None:
         self.prior = float(np.clip((self.counts * post).sum() / max(self.counts.sum(), 1e-9), 1e-4, 1 - 1e-4))
-        self.trees = [self._tree(self.counts * w) for w in (1 - post, post)]
+        self.trees = [self._tree(self.counts * w, [b[1:] for b in self.beliefs if b[0] == c]) for c, w in enumerate((1 - post, post))]
 
-    def _tree(self, w: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+    def _tree(self, w: np.ndarray, beliefs: list[tuple[int, int, int, int, float]]) -> list[tuple[int, int, np.ndarray]]:
         """``(vote, parent or -1, table)``: the maximum spanning tree of mutual information, from vote 0."""
         k = self.patterns.shape[1]
         one = np.full((k, 3), 0.5)
@@ -211,6 +220,9 @@ class LabelModel:
             np.add.at(one[i], self.patterns[:, i], w)
             for j in range(k):
                 np.add.at(two[i, j], (self.patterns[:, i], self.patterns[:, j]), w)
+        for i, x, j, y, n in beliefs:
+            two[i, j, x, y] += n
+            two[j, i, y, x] += n
         p1 = one / one.sum(1, keepdims=True)
         p2 = two / two.sum((2, 3), keepdims=True)
         mi = (p2 * np.log(p2 / (p2.sum(3, keepdims=True) * p2.sum(2, keepdims=True)))).sum((2, 3))
@@ -233,8 +245,13 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(like[0] - like[1], -500, 500)))
 
 
-def matched(entities: DataFrame, internal: DataFrame, reference: DataFrame) -> DataFrame:
-    """``entidad_dedup_id, internal_order, confianza`` and the votes of every candidate pair."""
+def believed(votes: list[str], total: float) -> list[tuple[int, int, int, int, int, float]]:
+    """``BELIEFS`` as counts in the tables of the model."""
+    return [(c, votes.index(i), x + 1, votes.index(j), y + 1, BELIEF * total) for c, i, x, j, y in BELIEFS]
+
+
+def _judged(entities: DataFrame, internal: DataFrame, reference: DataFrame) -> tuple[DataFrame, pd.DataFrame, DataFrame, DataFrame]:
+    """The votes of pairs of variants (written), how often each pattern of votes occurs, and the rows of the variants."""
     named = entities.filter("razon_social_normalizada is not null")
     phones_l, phones_r = ["telefono_comercial_1", "telefono_comercial_2"], ["telefono"]
     left = read_side(named, "entidad_dedup_id", "razon_social_normalizada", "direccion_comercial", "municipio_comercial", "departamento", reference, "nit", "email_comercial", *phones_l)
@@ -248,14 +265,37 @@ def matched(entities: DataFrame, internal: DataFrame, reference: DataFrame) -> D
     y = once_r.select(F.col("key").alias("key_r"), F.struct(*once_r.columns).alias("y"))
     votes = cut(voted(pairs.join(x, "key_l").join(y, "key_r")))
     # at most 3 ** len(VOTES) patterns, whatever the data
-    seen = votes.groupBy(*VOTES).agg(F.sum("n").alias("n")).toPandas()
+    return votes, votes.groupBy(*VOTES).agg(F.sum("n").alias("n")).toPandas(), rows_l, rows_r
+
+
+def matched(entities: DataFrame, internal: DataFrame, reference: DataFrame) -> DataFrame:
+    """``entidad_dedup_id, internal_order, confianza`` and the votes of every candidate pair."""
+    votes, seen, rows_l, rows_r = _judged(entities, internal, reference)
     every = lambda df: df.join(rows_l.select(F.col("variant").alias("key_l"), F.col("key").alias("entidad_dedup_id")), "key_l").join(rows_r.select(F.col("variant").alias("key_r"), F.col("key").alias("internal_order")), "key_r")
     if seen.empty:
         return every(votes).select("entidad_dedup_id", "internal_order", F.lit(0.0).alias("confianza"), *VOTES)
-    model = LabelModel(seen[VOTES].to_numpy(dtype=int), seen["n"].to_numpy())
+    model = LabelModel(seen[VOTES].to_numpy(dtype=int), seen["n"].to_numpy(), beliefs=believed(VOTES, float(seen["n"].sum())))
     seen["confianza"] = model.posterior()
-    # two complete names that differ are a match only if an identifier, a number or the door vouches for a shared part
-    vouched = (seen["v_part"] == 1) & ((seen["v_nit"] == 1) | (seen["v_tail"] == 1) | (seen["v_phone"] == 1) | (seen["v_address"] == 1))
-    seen.loc[(seen["v_name"] == -1) & ~vouched, "confianza"] = 0.0
     scores = votes.sparkSession.createDataFrame(seen[[*VOTES, "confianza"]].astype({v: "int8" for v in VOTES}), ", ".join(f"{v} tinyint" for v in VOTES) + ", confianza double")
     return every(votes.join(F.broadcast(scores), VOTES)).select("entidad_dedup_id", "internal_order", "confianza", *VOTES)
+
+
+def calibration(entities: DataFrame, internal: DataFrame, reference: DataFrame) -> DataFrame:
+    """``decil, pares, confianza, con_nit, acuerdo``: confidences against identifiers that the model hasn't seen.
+
+    The model is fitted without the votes on identifiers. In each tenth of confidence ``con_nit`` pairs have a usable
+    identifier on both sides, and ``acuerdo`` is the share of them that agree; null where there are none.
+    """
+    votes, seen, _, _ = _judged(entities, internal, reference)
+    held = [v for v in VOTES if v not in ("v_nit", "v_tail")]
+    schema = "decil int, pares bigint, confianza double, con_nit bigint, acuerdo double"
+    if seen.empty:
+        return votes.sparkSession.createDataFrame([], schema)
+    model = LabelModel(seen[held].to_numpy(dtype=int), seen["n"].to_numpy(), beliefs=believed(held, float(seen["n"].sum())))
+    seen["c"] = model.posterior()
+    seen["decil"] = np.minimum((seen["c"] * 10).astype(int), 9)
+    rows = []
+    for decile, part in seen.groupby("decil"):
+        both = int(part.loc[part["v_nit"] != 0, "n"].sum())
+        rows.append((int(decile), int(part["n"].sum()), float((part["c"] * part["n"]).sum() / part["n"].sum()), both, float(part.loc[part["v_nit"] == 1, "n"].sum() / both) if both else None))
+    return votes.sparkSession.createDataFrame(rows, schema)

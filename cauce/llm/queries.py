@@ -71,6 +71,12 @@ def p2_confidence(spark: SparkSession, folder: str) -> DataFrame:
     return _linked(spark, folder).filter(F.col("confianza") >= linkage.ACCEPT).select("entidad_dedup_id", "internal_order", F.round("confianza", 6).alias("confianza"))
 
 
+@R.query("p2_calibration")
+def p2_calibration(spark: SparkSession, folder: str) -> DataFrame:
+    """Confidences by tenths, against identifiers left out of the fit."""
+    return linkage.calibration(table(spark, folder, "empresas_con_exclusion"), table(spark, folder, "claves_internas"), table(spark, folder, "municipios_referencia"))
+
+
 def _grouped(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return table(spark, folder, "empresas_normalizado"), table(spark, folder, "grupos_deduplicacion"), table(spark, folder, "fuentes")
 

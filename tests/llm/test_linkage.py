@@ -53,6 +53,27 @@ def test_a_key_of_many_rows_proposes_all_of_them(spark):
     assert all(r.v_part == 1 and r.v_name == 1 for r in got)
 
 
+def test_different_names_match_only_if_something_vouches():
+    """The belief enters the model: the posterior itself turns such pairs down, whatever else agrees."""
+    votes = linkage.VOTES
+    v = lambda **k: [k.get(name, 0) for name in votes]
+    patterns = [
+        v(v_name=1, v_part=1, v_nit=1, v_place=1, v_kind=1), v(v_name=1, v_part=1, v_place=1, v_kind=1), v(v_name=1, v_part=1, v_email=1, v_place=1, v_kind=1), v(v_name=-1, v_part=1, v_email=1, v_place=1, v_kind=1, v_vouch=-1),
+        v(v_name=-1, v_part=1, v_nit=1, v_place=1, v_kind=1, v_vouch=1), v(v_name=-1, v_part=-1, v_nit=-1, v_place=-1, v_kind=-1, v_vouch=-1), v(v_name=-1, v_part=1, v_place=-1, v_kind=-1, v_vouch=-1),
+    ]
+    for scale in (1, 1000):
+        counts = np.array([300, 700, 300, 60, 20, 500, 300]) * scale
+        got = linkage.LabelModel(np.array(patterns), counts, beliefs=linkage.believed(votes, float(counts.sum()))).posterior()
+        assert (got[[0, 1, 2, 4]] > 0.9).all() and (got[[3, 5, 6]] < 0.1).all()
+
+
+def test_calibration(spark):
+    entities, internal, reference = data(spark)
+    got = linkage.calibration(entities, internal, reference).collect()
+    assert all(0 <= r.decil <= 9 and r.pares > 0 for r in got) and next(r for r in got if r.decil == 9).acuerdo > 0.9
+    assert linkage.calibration(entities.limit(0), internal, reference).count() == 0
+
+
 def test_nothing_to_match(spark):
     entities, internal, reference = data(spark)
     assert linkage.matched(entities.limit(0), internal, reference).count() == 0
