@@ -28,8 +28,9 @@ from cauce.session import cut
 
 VOTES = ["v_name", "v_part", "v_nit", "v_tail", "v_phone", "v_stub", "v_email", "v_place", "v_address", "v_kind", "v_vouch"]
 #: What is believed before any data: ``(class, vote, its value, other vote, its value)`` as often as this share of all
-#: candidates. Complete names that differ are one company if something vouches for a part they share, else they are not.
-BELIEFS = [(1, "v_name", -1, "v_vouch", 1), (0, "v_name", -1, "v_vouch", -1)]
+#: candidates. Names that don't agree are one company if an identifier, a number or the door vouches for a part they
+#: share, else they are not.
+BELIEFS = [(1, "v_name", -1, "v_vouch", 1), (0, "v_name", -1, "v_vouch", -1), (1, "v_name", 0, "v_vouch", 1), (0, "v_name", 0, "v_vouch", -1)]
 BELIEF = 0.02
 #: Extra weight of the first votes (name, part, identifier) where EM starts.
 START = np.array([2.0, 1.0, 2.0])
@@ -173,9 +174,12 @@ def voted(pairs: DataFrame) -> DataFrame:
     person = (F.size(x("given")) > 0) & (F.size(y("given")) > 0)
     given = F.arrays_overlap(x("given"), y("given"))
     same_kind = F.when(person, given).otherwise(x("trade") == y("trade"))
+    kind_no = F.when(person, ~given).otherwise((x("trade") != y("trade")) | (x("trade").isNotNull() & (F.size(y("given")) > 0)) | (y("trade").isNotNull() & (F.size(x("given")) > 0)))
     numbers = sure(id_edits <= 2) & both_id | sure(tails.isNotNull() & (F.length(whole) >= 8) & tail_hit) | sure(shared_phone) | sure(x("address") == y("address"))
     named = F.when(full, d <= F.when(x("b").isNull() | y("b").isNull(), JOINED_EDITS).otherwise(names.NAME_EDITS)).otherwise(one & sure(same_kind))
     vouched = one & numbers
+    parts_differ, kinds_differ = x("a").isNotNull() & y("a").isNotNull() & ~one, kind_no
+    apart = (full & ~sure(named)) | (~full & ~sure(named) & (sure(parts_differ) | sure(kinds_differ) & ~sure(same_kind)))
     return pairs.select(
         "key_l", "key_r", (x("n") * y("n")).alias("n"),
         _vote(named, full & ~sure(named)).alias("v_name"),
@@ -187,8 +191,8 @@ def voted(pairs: DataFrame) -> DataFrame:
         _vote(mails, x("mail").isNotNull() & y("mail").isNotNull()).alias("v_email"),
         _vote(x("town") == y("town"), x("town") != y("town")).alias("v_place"),
         _vote(x("address") == y("address"), x("address") != y("address")).alias("v_address"),
-        _vote(same_kind, F.when(person, ~given).otherwise((x("trade") != y("trade")) | (x("trade").isNotNull() & (F.size(y("given")) > 0)) | (y("trade").isNotNull() & (F.size(x("given")) > 0)))).alias("v_kind"),
-        _vote(full & ~sure(named) & vouched, full & ~sure(named)).alias("v_vouch"),
+        _vote(same_kind, kind_no).alias("v_kind"),
+        _vote(apart & sure(vouched), apart).alias("v_vouch"),
     )
 
 
