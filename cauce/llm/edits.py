@@ -10,6 +10,25 @@ ALIKE = ["0OQ", "1IL", "3E", "4A", "5S", "8B", "6G", "2Z", "BV", "SZC", "IY", "C
 _HALF = {(a, b) for group in ALIKE for a in group for b in group if a != b}
 
 
+def _folding() -> dict[int, str]:
+    """Each character with the first of all that are alike, by way of others too."""
+    of = {c: c for group in ALIKE for c in group}
+    for _ in ALIKE:
+        for group in ALIKE:
+            least = min(of[c] for c in group)
+            for c in [x for x in of if of[x] in {of[c] for c in group}]:
+                of[c] = least
+    return {ord(c): x for c, x in of.items()}
+
+
+_FOLD = _folding()
+
+
+def folded(word: str) -> str:
+    """The word with characters that are alike as one."""
+    return word.translate(_FOLD)
+
+
 def weighted_dl(a: str, b: str, limit: float = 99.0) -> float:
     """Damerau-Levenshtein distance (adjacent transposition one edit); look-alikes and doubled letters cost half.
 

@@ -1,14 +1,17 @@
 """Free-typed places mapped to a reference list by a symmetric-delete dictionary.
 
-The dictionary (every reference name with up to ``MAX_DELETE`` letters left out) is made from the fixed
-reference table, whose size is checked, and travels with the function. A typed text is cut into segments,
-department names and codes are taken out, and what remains is looked up whole, then by its last words. The
-candidates are ranked by weighted Damerau-Levenshtein distance, agreement with the department, and how often
-the corpus names the entry.
-
-Defined results: a null or blank text, and one that reaches no entry within its limit, is a miss
-(``NINGUNO``). Ties go to the more frequent entry, then to the smaller code. An entry that shares its name
-is chosen by department, else by frequency.
+The dictionary is made from the fixed reference table, whose size is checked, and travels with the function: of
+every name, with characters that look or sound alike made one, the first ``PREFIX`` letters with up to as many left
+out as edits are allowed. A typed text is cut into segments, department names and codes are taken out, and what
+remains is looked up whole, then by its last words. The candidates are ranked by weighted Damerau-Levenshtein
+distance, agreement with the department, and how often the corpus names the entry.
+
+An entry is within reach of a text if their weighted distance (look-alikes and doubled letters count half) is within
+the text's limit, and its plain edits (look-alikes count nothing) within the limit and one. All entries within reach
+are found.
+
+Defined results: a null or blank text, and one that reaches no entry, is a miss (``NINGUNO``). Ties go to the more
+frequent entry, then to the smaller code. An entry that shares its name is chosen by department, else by frequency.
 """
 
 from __future__ import annotations
@@ -17,22 +20,25 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cauce.llm.edits import deletions, weighted_dl
+from cauce.llm.edits import deletions, folded, osa, weighted_dl
 
 NONE = "NINGUNO"
 
 #: The reference list is broadcast; a longer one is refused rather than sent.
 MAX_REFERENCE = 50_000
-MAX_DELETE = 2
+#: Letters of a name that are looked up, and the most plain edits (of the longest texts).
+PREFIX, MOST_EDITS = 8, 4
 
 # Words before a place that do not belong to its name, smaller places inside one, and short forms.
 BEFORE = {"MPIO", "MUNICIPIO", "MUN", "CIUDAD", "DISTRITO", "DE", "DEL"}
 SMALLER = {"VEREDA", "VDA", "CGTO", "CORREGIMIENTO", "CORREG", "INSPECCION", "CASERIO"}
 SHORT = {"PTO": "PUERTO", "STA": "SANTA", "STO": "SANTO", "S": "SAN", "SN": "SAN", "V": "VILLA", "VLLA": "VILLA", "NVA": "NUEVA", "NVO": "NUEVO", "GRAL": "GENERAL", "P": "PUERTO"}
+LETTERS = [*range(48, 58), *range(65, 91)]
 # Digits typed for letters.
 DIGITS = str.maketrans("034589", "OEASBG")
 
@@ -54,18 +60,25 @@ class PlaceIndex:
         for code, name, _ in reference:
             for form in {self.pack(plain(name)), self.pack(re.sub(r"\b(?:DE|DEL|LA|EL)\b", "", plain(name)))}:
                 self.entries.setdefault(form, []).append(code)
-        self.deletes: dict[str, set[str]] = {}
-        for form in self.entries:
-            for cut in set(deletions(form, MAX_DELETE)):
-                self.deletes.setdefault(cut, set()).add(form)
+        forms = sorted(self.entries)
+        cuts = [(cut, k) for k, form in enumerate(forms) for cut in set(deletions(folded(form)[:PREFIX], MOST_EDITS))]
+        keys = np.array([c for c, _ in cuts], dtype=f"S{PREFIX}")
+        order = np.argsort(keys, kind="stable")
+        self.forms_by_place, self.cuts, self.owners = forms, keys[order], np.array([k for _, k in cuts], dtype=np.int32)[order]
+        self.letters = np.stack([self.counted(folded(f)) for f in forms]) if forms else np.zeros((0, len(LETTERS)), dtype=np.int16)
         #: A text longer than this is beyond the limit of every entry.
-        self.longest = max((len(f) for f in self.entries), default=0) + MAX_DELETE
+        self.longest = max((len(f) for f in self.entries), default=0) + MOST_EDITS
         self.memo: dict[tuple, str | None] = {}
 
     @staticmethod
     def pack(text: str) -> str:
         return re.sub(r"[^A-Z0-9]", "", text)
 
+    @staticmethod
+    def counted(word: str) -> np.ndarray:
+        """How often each letter or digit occurs."""
+        return np.bincount(np.frombuffer(word.encode(), dtype=np.uint8), minlength=128)[LETTERS].astype(np.int16)
+
     @staticmethod
     def limit(form: str) -> float:
         return 1.0 if len(form) <= 4 else 2.0 if len(form) <= 9 else 3.0
@@ -76,12 +89,20 @@ class PlaceIndex:
             return [(0.0, form)]
         if len(form) > self.longest:
             return []
-        limit = self.limit(form)
-        found: set[str] = set()
-        for cut in set(deletions(form, MAX_DELETE)):
-            found |= self.deletes.get(cut, set())
-        out = [(weighted_dl(form, x, limit), x) for x in found]
-        return [(d, x) for d, x in out if d <= min(limit, 0.34 * len(x))]
+        limit, plainly = self.limit(form), folded(form)
+        edits = int(limit) + 1
+        cuts = np.array(list(set(deletions(plainly[:PREFIX], edits))), dtype=self.cuts.dtype)
+        lo, hi = np.searchsorted(self.cuts, cuts, "left"), np.searchsorted(self.cuts, cuts, "right")
+        found = np.unique(np.concatenate([self.owners[:0], *[self.owners[a:b] for a, b in zip(lo[hi > lo], hi[hi > lo], strict=True)]]))
+        # an edit adds one letter at most and takes one at most
+        apart = self.letters[found] - self.counted(plainly)
+        found = found[np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1)) <= edits]
+        out = []
+        for x in (self.forms_by_place[k] for k in found):
+            d = weighted_dl(form, x, limit)
+            if d <= min(limit, 0.34 * len(x)) and osa(plainly, folded(x), edits) <= edits:
+                out.append((d, x))
+        return out
 
     def department(self, text: str) -> str | None:
         """The department a text is, in full, as a prefix with a point, or within one edit."""
@@ -187,7 +208,10 @@ def resolver(reference: DataFrame, rows: DataFrame | None = None):
             made.append(PlaceIndex(listed, frequency))
         index = made[0]
         for text, dept in batches:
-            yield pd.Series([index.resolve(t, d) for t, d in zip(text, dept, strict=True)], dtype="object")
+            # each distinct pair of a batch once
+            codes, pairs = pd.factorize(pd.MultiIndex.from_arrays([text.fillna("\0"), dept.fillna("\0")]))
+            found = np.array([index.resolve(*(None if v == "\0" else v for v in p)) for p in pairs], dtype=object)
+            yield pd.Series(found[codes] if len(codes) else [], dtype="object")
 
     return resolve
 
