@@ -12,8 +12,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _own_folder() -> str:
+    own = tempfile.mkdtemp(prefix="cauce_")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return "file://" + own
+
+
 def local_session(cores: str = "8", partitions: int = 8) -> SparkSession:
-    """A session for tests and the bench; clusters bring their own."""
+    """A session for tests and the bench, with a work folder of its own; clusters bring their own session."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("cauce")
@@ -21,6 +27,7 @@ def local_session(cores: str = "8", partitions: int = 8) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", _own_folder())
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -42,14 +49,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset a session on one machine gets a temporary folder; on a cluster, whose machines would not share
+    one, that is an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_cauce_work", None)
     if not folder:
-        folder = getattr(spark, "_cauce_work", None)
-        if not folder:
-            own = tempfile.mkdtemp(prefix="cauce_")
-            atexit.register(shutil.rmtree, own, ignore_errors=True)
-            folder = spark._cauce_work = "file://" + own
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = spark._cauce_work = _own_folder()
     return folder.rstrip("/")
 
 
@@ -67,14 +76,15 @@ def clear_work(spark: SparkSession) -> int:
     return count
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, *by: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and return a scan of it.
 
-    Later stages survive the loss of any executor and nothing upstream is computed twice.
+    Later stages survive the loss of any executor and nothing upstream is computed twice. With ``by`` the table is
+    partitioned by these columns, so that a filter on them reads its part only.
     """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/cauce_{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
