@@ -4,7 +4,8 @@ Sizes are tokens of a public tokenizer, counted once and written. The sizes of t
 bounded table) go to the driver, which clamps sources at their allowed repetitions and shares what they leave
 among the others in proportion, until nothing changes. A source then gives every document its whole
 repetitions and, by a seeded hash order, one more to the documents that fill the fractional rest. The place
-where that order stops is found by a histogram of hash bins, so no source is ever sorted in one task.
+where that order stops is found digit by digit of the hash: a histogram tells the bin where it lies, the rows of
+that bin get another, until so few are left that they can be put in order, however large the source is.
 
 Defined results: documents of sources without a target, null sources and empty texts (no tokens) are not used.
 A target without documents, or with weight or repetitions null or not positive, takes no part and its weight
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from cauce.llm.tokens import VOCABULARY, encoder
 from cauce.session import cut
 
-#: Bins of the hash order of a source.
-BINS = 1024
+#: Bits of the hash that a histogram parts at a time, and the rows of a source that may be put in order in one task.
+DIGIT, HASH_BITS, SORTED = 10, 63, 10_000
 SEED = 42
 #: The targets are read by the driver; a longer list is refused.
 MAX_SOURCES = 100_000
@@ -79,7 +80,8 @@ def sized(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 
 def order_hash(seed: int) -> Column:
-    return F.xxhash64("doc_id", F.lit(seed))
+    """A number of ``HASH_BITS`` bits."""
+    return F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 1)
 
 
 def planned(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> list[Share]:
@@ -97,27 +99,56 @@ def planned(sizes: DataFrame, targets: DataFrame, total: float | None = None) ->
     return water_fill(shares, sum(s.size for s in shares) if total is None else total)
 
 
+def _stops(hashed: DataFrame, rest: dict[str, float]) -> dict[str, tuple[int, int, float]]:
+    """``source -> (low, high, rest)``: the fractional rest of a source ends in hashes from low, below high.
+
+    All rows below come in, and of the rows inside as many as fill what is left of the rest. One row for each source
+    and round reaches the driver.
+    """
+    spark = hashed.sparkSession
+    low = dict.fromkeys(rest, 0)
+    left = dict(rest)
+    done: dict[str, tuple[int, int, float]] = {}
+    shift = HASH_BITS
+    while left and shift > 0:
+        shift = max(0, shift - DIGIT)
+        table = F.broadcast(spark.createDataFrame([(s, low[s], float(left[s])) for s in left], "source string, low bigint, queda double"))
+        above = min(HASH_BITS, shift + DIGIT)
+        inside = hashed.join(table, "source").filter(F.shiftright("h", above) == F.shiftright("low", above) if above < HASH_BITS else F.lit(True))
+        bins = inside.groupBy("source", "queda", F.shiftright("h", shift).alias("bin")).agg(F.sum("n_tokens").alias("t"), F.count("*").alias("c"))
+        upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ends = bins.withColumn("hasta", F.sum("t").over(upto)).filter(F.col("hasta") > F.col("queda"))
+        found = {r.source: r.m for r in ends.groupBy("source").agg(F.min(F.struct("bin", "hasta", "t", "c")).alias("m")).collect()}
+        for s in list(left):
+            if s not in found:  # the rest takes every row
+                done[s] = (1 << HASH_BITS) - 1, (1 << HASH_BITS) - 1, 0.0
+                del left[s]
+                continue
+            m = found[s]
+            low[s], left[s] = m.bin << shift, left[s] - (m.hasta - m.t)
+            if m.c <= SORTED or shift == 0:
+                done[s] = low[s], min(low[s] + (1 << shift), (1 << HASH_BITS) - 1), left[s]
+                del left[s]
+    return done
+
+
 def drawn(sizes: DataFrame, shares: list[Share], seed: int = SEED) -> DataFrame:
     """``doc_id, source, n_tokens, copias`` of every document used."""
-    spark = sizes.sparkSession
-    plan = [(s.source, min(int(s.epochs + 1e-12), s.cap), max(0.0, s.target - min(int(s.epochs + 1e-12), s.cap) * s.size)) for s in shares if s.target > 0]
-    table = spark.createDataFrame(plan, "source string, enteras int, resto double")
-    placed = sizes.join(F.broadcast(table), "source").withColumn("_h", order_hash(seed)).withColumn("_bin", F.pmod(F.col("_h"), F.lit(BINS)))
-    # one row for each source and bin: where the rest of a source ends
-    bins = placed.groupBy("source", "_bin").agg(F.sum("n_tokens").alias("t"), F.first("resto").alias("resto"))
-    before = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("antes", F.coalesce(F.sum("t").over(before), F.lit(0))).select("source", "_bin", (F.col("resto") - F.col("antes")).alias("queda"), "t")
-    marked = placed.join(F.broadcast(bins), ["source", "_bin"])
-    inside = marked.filter((F.col("queda") > 0) & (F.col("queda") < F.col("t")))
-    # only one bin of a source is cut, so only its rows are put in order
-    upto = Window.partitionBy("source").orderBy("_h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = {s.source: min(int(s.epochs + 1e-12), s.cap) for s in shares if s.target > 0}
+    rest = {s.source: max(0.0, s.target - whole[s.source] * s.size) for s in shares if s.target > 0}
+    hashed = sizes.withColumn("h", order_hash(seed))
+    stops = _stops(hashed, {s: r for s, r in rest.items() if r > 0})
+    plan = [(s, n, *stops.get(s, (0, 0, 0.0))) for s, n in whole.items()]
+    # one row for each target, at most ``MAX_SOURCES``
+    table = sizes.sparkSession.createDataFrame(plan, "source string, enteras int, low bigint, high bigint, queda double")
+    placed = hashed.join(F.broadcast(table), "source")
+    within = (F.col("h") >= F.col("low")) & (F.col("h") < F.col("high"))
+    upto = Window.partitionBy("source").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # a document comes in if more than half of it fits, which leaves the smallest difference
-    edge = inside.withColumn("_sum", F.sum("n_tokens").over(upto)).withColumn("_one", (F.col("_sum") - F.col("n_tokens") / 2.0 <= F.col("queda")).cast("int"))
-    whole = marked.filter((F.col("queda") <= 0) | (F.col("queda") >= F.col("t"))).withColumn("_one", (F.col("queda") > 0).cast("int"))
-    used = whole.select("doc_id", "source", "n_tokens", (F.col("enteras") + F.col("_one")).alias("copias")).unionByName(
-        edge.select("doc_id", "source", "n_tokens", (F.col("enteras") + F.col("_one")).alias("copias"))
-    )
-    return used.filter("copias > 0")
+    edge = placed.filter(within).withColumn("_sum", F.sum("n_tokens").over(upto)).withColumn("_one", (F.col("_sum") - F.col("n_tokens") / 2.0 <= F.col("queda")).cast("int"))
+    others = placed.filter(~within).withColumn("_one", (F.col("h") < F.col("low")).cast("int"))
+    used = [df.select("doc_id", "source", "n_tokens", (F.col("enteras") + F.col("_one")).alias("copias")) for df in (others, edge)]
+    return used[0].unionByName(used[1]).filter("copias > 0")
 
 
 def mixed(documents: DataFrame, targets: DataFrame, total: float | None = None, seed: int = SEED, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -156,6 +156,25 @@ def test_mixture(spark):
     assert mixture.mixed(documents.limit(0), targets).count() == 0 and mixture.mixed(documents, targets.limit(0)).count() == 0
 
 
+def test_the_stop_of_a_source_is_found_digit_by_digit(spark, monkeypatch):
+    """With few rows put in order at a time the same documents are drawn; against a plain sort."""
+    rng = random.Random(2)
+    sizes = spark.createDataFrame([(i, rng.choice("aab"), rng.randrange(1, 50)) for i in range(6000)], "doc_id bigint, source string, n_tokens bigint")
+    total = {r.source: r.n for r in sizes.groupBy("source").agg({"n_tokens": "sum"}).withColumnRenamed("sum(n_tokens)", "n").collect()}
+    shares = [mixture.Share("a", 1.0, 3, total["a"], 1.37 * total["a"]), mixture.Share("b", 1.0, 1, total["b"], 0.61 * total["b"])]
+    whole = {(r.doc_id, r.copias) for r in mixture.drawn(sizes, shares).collect()}
+    monkeypatch.setattr(mixture, "SORTED", 2)
+    monkeypatch.setattr(mixture, "DIGIT", 3)
+    assert {(r.doc_id, r.copias) for r in mixture.drawn(sizes, shares).collect()} == whole
+    rows = sizes.withColumn("h", mixture.order_hash(mixture.SEED)).collect()
+    for share, copies in ((shares[0], 1), (shares[1], 0)):
+        rest, used = share.target - copies * share.size, 0
+        for r in sorted((r for r in rows if r.source == share.source), key=lambda r: (r.h, r.doc_id)):
+            more = used + r.n_tokens / 2 <= rest
+            used += r.n_tokens
+            assert ((r.doc_id, copies + more) in whole) == (copies + more > 0)
+
+
 SAMPLES = ["a" * 5000, "ñ" * 4000, "日本語" * 1500, " " * 3000, "\n" * 3000 + "x", "🙂" * 2000, "x y" * 2000, "'s" * 3000, "ab\r\n" * 2000, "One. Two! " * 800, "para one.\n\npara two, longer.\n" * 300]
 
 
