@@ -130,3 +130,9 @@ def p6_subset(spark: SparkSession, folder: str) -> DataFrame:
 def p6_coverage(spark: SparkSession, folder: str) -> DataFrame:
     rows, reference = table(spark, folder, "empresas_scored"), table(spark, folder, "municipios_referencia")
     return variety.coverage(variety.subset(rows, reference), rows, reference)
+
+
+@R.query("p6_contrast")
+def p6_contrast(spark: SparkSession, folder: str) -> DataFrame:
+    """The subset against a random one and one without clusters."""
+    return variety.contrast(table(spark, folder, "empresas_scored"), table(spark, folder, "municipios_referencia"))

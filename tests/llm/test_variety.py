@@ -1,5 +1,7 @@
 from collections import Counter
 
+import numpy as np
+
 from cauce.llm import variety
 
 SCHEMA = "entidad_dedup_id string, sector_vertical string, municipio_nombre_normalizado string, score_prioridad_comercial double, razon_social string, nit string, estado_exclusion string"
@@ -14,7 +16,10 @@ def data(spark):
     rows += [(f"copy{i}", "Salud", "BRESAL", 50.0, "CLINICA UNICORNIA COPIADA", None, "SIN_COINCIDENCIA") for i in range(200)]
     rows += [("out", "Salud", "BRESAL", 99.0, "X", None, "EXCLUSION_ALTA"), ("unscored", "Salud", "BRESAL", None, "Y", None, "SIN_COINCIDENCIA"), ("nameless", None, None, 3.0, None, None, "SIN_COINCIDENCIA")]
     reference = spark.createDataFrame([("91001", "ALMIRA", "A"), ("92002", "BRESAL", "B")], "codigo_dane string, nombre string, departamento string")
-    return spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' as sector", "1 as grupo"), reference
+    return spark.createDataFrame(rows, SCHEMA).selectExpr(
+        "*", "'x' as sector", "1 as grupo", "'x' as lote", "if(score_prioridad_comercial > 60, 'GRANDE', 'micro') as tamano_empresa", "if(nit like '%7', '1.200', 'muchos') as num_empleados", "'2,020' as ultimo_ano_renovado",
+        "nit as telefono_comercial_1", "null as telefono_comercial_2", "'' as telefono_comercial_3", "nit as email_comercial",
+    ), reference
 
 
 def test_subset(spark):
@@ -38,6 +43,29 @@ def test_small_and_empty(spark):
     assert variety.subset(rows.limit(0), reference, size=10).count() == 0
 
 
+def test_vectors_count_the_attributes_that_differ(spark):
+    rows, reference = data(spark)
+    ready = variety.prepared(rows, reference)
+    vectors = variety.vectors_of(ready)
+    b = ready.orderBy("id").toPandas()
+    codes, numbers = vectors.of(b)
+    dense = vectors.dense(codes, numbers)
+    assert dense.shape[1] == vectors.width and ((dense > 0).sum(1) >= len(variety.WEIGHTS)).all()
+    rng = np.random.default_rng(1)
+    centres = rng.random((7, vectors.width))
+    assert (vectors.nearest(codes, numbers, centres) == ((dense[:, None, :] - centres[None]) ** 2).sum(2).argmin(1)).all()
+    total = np.zeros((7, vectors.width))
+    at = vectors.nearest(codes, numbers, centres)
+    vectors.add(total, at, codes, numbers)
+    assert np.allclose(total, np.stack([dense[at == c].sum(0) for c in range(7)]))
+
+
+def test_clusters_cover_more_than_chance(spark):
+    rows, reference = data(spark)
+    got = {r.metodo: r for r in variety.contrast(rows, reference, 60).collect()}
+    assert got["grupos"].celdas >= got["azar"].celdas and got["grupos"].score > got["azar"].score and got["grupos"].mayor_sector <= got["azar"].mayor_sector
+
+
 def test_quotas():
     assert variety.quotas({0: 100, 1: 4, 2: 1}, 30) == {0: 25, 1: 4, 2: 1}
     assert sum(variety.quotas({0: 900, 1: 400, 2: 100}, 60).values()) == 60 and variety.quotas({0: 900, 1: 400, 2: 100}, 60) == {0: 30, 1: 20, 2: 10}
