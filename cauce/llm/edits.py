@@ -79,6 +79,59 @@ def osa(a: str, b: str, limit: int) -> int:
     return prev[-1]
 
 
+#: What may be typed otherwise: characters alike, doubled letters, neighbours swapped, letters lost, added, changed, ends cut off.
+KINDS = ["alike", "doubled", "swapped", "lost", "added", "changed", "cut"]
+
+
+def operations(meant: str, typed: str) -> list[int]:
+    """How often each of ``KINDS`` occurs in a shortest way from one text to the other; words in their better order.
+
+    A word that is the beginning of the other, by two letters or more, was cut off: once, however much is missing.
+    """
+    a, b = meant.split(" "), typed.split(" ")
+    if len(a) == len(b):
+        ways = [list(zip(a, b, strict=True))] + ([list(zip(a, b[::-1], strict=True))] if len(a) == 2 else [])
+    else:
+        ways = [[("".join(a), "".join(b))]] + ([[("".join(a[::-1]), "".join(b))]] if len(a) == 2 else []) + ([[("".join(a), "".join(b[::-1]))]] if len(b) == 2 else [])
+    return min(([sum(x) for x in zip(*[_operations(x, y) for x, y in way], strict=True)] for way in ways), key=lambda ops: (sum(ops), ops))
+
+
+def _operations(a: str, b: str) -> list[int]:
+    out = [0] * len(KINDS)
+    if a == b:
+        return out
+    if len(a) - len(b) >= 2 and len(b) >= 3 and a.startswith(b):
+        out[6] = 1
+        return out
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            best = min(rows[-1][j] + 1, row[j - 1] + 1, rows[-1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, rows[-2][j - 2] + 1)
+            row.append(best)
+        rows.append(row)
+    i, j = len(a), len(b)
+    while i or j:
+        here = rows[i][j]
+        if i and j and a[i - 1] == b[j - 1] and rows[i - 1][j - 1] == here:
+            i, j = i - 1, j - 1
+        elif i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1] and rows[i - 2][j - 2] + 1 == here:
+            out[2] += 1
+            i, j = i - 2, j - 2
+        elif i and j and rows[i - 1][j - 1] + 1 == here:
+            out[0 if (a[i - 1], b[j - 1]) in _HALF else 5] += 1
+            i, j = i - 1, j - 1
+        elif i and rows[i - 1][j] + 1 == here:
+            out[1 if a[i - 1] in (a[max(0, i - 2) : i - 1], a[i : i + 1]) else 3] += 1
+            i -= 1
+        else:
+            out[1 if b[j - 1] in (b[max(0, j - 2) : j - 1], b[j : j + 1]) else 4] += 1
+            j -= 1
+    return out
+
+
 def deletions(word: str, most: int) -> Iterator[str]:
     """``word`` with up to ``most`` characters left out."""
     for k in range(min(most, len(word)) + 1):

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cauce.llm import address_text, addresses, links, name_text, names
+from cauce.llm import address_text, addresses, edits, links, name_text, names
 
 REFERENCE = [("91001", "ALMIRA", "A"), ("92002", "BRESAL", "B")]
 
@@ -87,6 +87,43 @@ def test_a_class_has_one_town(spark):
     assert addresses.members(rows.limit(0)).count() == 0 and addresses.class_links(rows.limit(0)).count() == 0
 
 
+def test_a_common_end_loses_no_edge(spark, monkeypatch):
+    """Names of one part with an end in common, on either side of the bound."""
+    rng = random.Random(12)
+    tails = ["".join(rng.choice("BCMRT") + rng.choice("AEO") for _ in range(rng.randint(1, 5))) for _ in range(50)]
+    cores = sorted({*(f"RODRIGUEZ{t}" for t in tails), *(f"RODRIGUEZ{t[1:]}X" for t in tails[:30]), *(f"{t}RODRIGUEZ" for t in tails[:20]), *(" ".join(sorted(("RODRIGUEZ", f"{t}MORA"))) for t in tails)})
+    read = spark.createDataFrame([(c, 1 + i % 5) for i, c in enumerate(cores)], "core string, n long").select(*names.parts_of(F.col("core")), "n")
+    found = []
+    for bound in (5, 100_000):
+        monkeypatch.setattr(names, "COMMON_PART", bound)
+        found.append({(*sorted((r.a, r.b)), r.d) for r in names.joined_edges(read).collect()})
+    assert found[0] == found[1] and len(found[0]) > 50
+
+
+@pytest.mark.parametrize("meant,typed,ops", [("GOMEZ PARDO", "GOMEZ PARDO", {}), ("GOMEZ PARDO", "PARDO G0MEZ", {"alike": 1}), ("GOMEZ PARDO", "GOMMEZ PADRO", {"doubled": 1, "swapped": 1}), ("MONTENEGRO PARDO", "MONTE PARDO", {"cut": 1}), ("GOMEZ PARDO", "GOMEZPARD", {"lost": 1}), ("GOMEZ", "GOXEZT", {"changed": 1, "added": 1})])
+def test_kinds_of_edits(meant, typed, ops):
+    assert {k: n for k, n in zip(edits.KINDS, edits.operations(meant, typed), strict=True) if n} == ops
+
+
+def test_costs_are_learned_from_what_was_typed(spark):
+    """Where letters are mostly swapped, a swap comes to cost less than a letter lost, and decides between two names."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("BCDFGLMNRT") + rng.choice("AEIOU") for _ in range(5))
+    swap = lambda w, i: w[:i] + w[i + 1] + w[i] + w[i + 2 :]
+    cores = {}
+    for _ in range(80):
+        a, b = word(), word()
+        cores[f"{a} {b}"] = 9
+        cores[f"{swap(a, rng.randrange(1, 8))} {b}"] = 1
+    cores |= {"GATERO PILUMO": 9, "GATRO PILUMO": 9, "GATREO PILUMO": 1}
+    vertices = spark.createDataFrame([(" ".join(sorted(k.split())), n) for k, n in cores.items()], "core string, n long")
+    typed = names.typed_otherwise(names.edges_of(vertices)).cache()
+    costs = dict(zip(edits.KINDS, names.learned_costs(typed), strict=True))
+    assert costs["swapped"] < costs["lost"] - 1 and costs["swapped"] < costs["added"] - 1
+    assert {r.id: r.parent for r in names.best_meant(typed, list(costs.values())).collect()}["GATREO PILUMO"] == "GATERO PILUMO"
+    assert names.learned_costs(typed.limit(0)) == [names.EDIT_COST] * len(edits.KINDS)
+
+
 @pytest.mark.parametrize(
     "a,b,same",
     [
@@ -139,6 +176,6 @@ def test_a_common_part_loses_no_edge(spark, monkeypatch):
     found = []
     for bound in (5, 100_000):
         monkeypatch.setattr(names, "COMMON_PART", bound)
-        found.append({(*sorted((r.a, r.b)), round(r.score, 6)) for r in names.whole_edges(read).collect()})
+        found.append({(*sorted((r.a, r.b)), r.d) for r in names.whole_edges(read).collect()})
     assert found[1] <= found[0] and ("MORENO RODRIGUEZ", "NOREMO RODRIGUEZ") in {e[:2] for e in found[0]}
     assert found[0] == found[1]
