@@ -14,6 +14,12 @@ SECTIONS = {
     "O": "Sector público", "P": "Educación", "Q": "Salud", "R": "Entretenimiento", "S": "Otros servicios", "T": "Hogares", "U": "Extraterritorial",
 }
 EXACT_CODES = {"G4773": "Salud / Farmacias", "G4752": "Ferretería y construcción menor"}
+# How well the sections fit, and the exact codes.
+SECTION_FIT = {
+    "A": "bajo", "B": "no_aplica", "C": "medio", "D": "no_aplica", "E": "no_aplica", "F": "bajo", "G": "alto", "H": "medio", "I": "alto", "J": "medio", "K": "bajo", "L": "bajo", "M": "medio", "N": "medio", "O": "no_aplica",
+    "P": "medio", "Q": "alto", "R": "alto", "S": "medio", "T": "no_aplica", "U": "no_aplica",
+}
+EXACT_FIT = {"G4773": "alto", "G4752": "alto"}
 
 # Declared company sizes (texts after comparison normalisation), and the employees up to which a size is inferred.
 DECLARED_SIZES = {"MICRO": "micro", "MICROEMPRESA": "micro", "MICRO EMPRESA": "micro", "MEDIANA": "mediana", "MEDIANA EMPRESA": "mediana", "GRANDE": "grande", "GRAN EMPRESA": "grande"}
@@ -48,14 +54,20 @@ def lookup(c: Column, table: dict[str, str]) -> Column:
 
 
 def activity(c: Column) -> Column:
-    """ENR-1: ``seccion, codigo, sector`` of an activity code; the exact code goes before its section."""
+    """ENR-1: ``seccion, codigo, sector, encaje, nota`` of an activity code; the exact code goes before its section.
+
+    ``nota`` says why there is no sector; it is null where there is one.
+    """
     text = F.upper(F.trim(c))
     section, number = F.regexp_extract(text, r"^([A-Z])(\d{3,4})", 1), F.regexp_extract(text, r"^([A-Z])(\d{3,4})", 2)
     coded = text.rlike(r"^[A-Z]\d{3,4}")
     code = F.concat(section, number)
+    sector = F.when(coded, F.coalesce(lookup(code, EXACT_CODES), lookup(section, SECTIONS)))
+    note = F.when(c.isNull() | (c == ""), "Sin código CIIU").when(~coded, F.format_string("No se reconoce el formato CIIU: '%s'", F.substring(text, 1, 20))).when(sector.isNull(), F.format_string("Sección CIIU '%s' no mapeada", section))
     return F.struct(
-        F.when(coded, section).alias("seccion"), F.when(coded, code).alias("codigo"), F.when(coded, F.coalesce(lookup(code, EXACT_CODES), lookup(section, SECTIONS))).alias("sector")
-    )
+        F.when(coded, section).alias("seccion"), F.when(coded, code).alias("codigo"), sector.alias("sector"),
+        F.when(coded, F.coalesce(lookup(code, EXACT_FIT), lookup(section, SECTION_FIT))).alias("encaje"), note.alias("nota"),
+    )
 
 
 def company_size(declared: Column, employees: Column) -> Column:

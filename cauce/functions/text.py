@@ -15,17 +15,17 @@ NULL_MARKERS_UNREACHABLE = ["null", "None"]
 
 
 def _folding_table() -> tuple[str, str, list[tuple[str, str]]]:
-    """Characters up to U+024F that decompose: single-letter results for translate, longer ones apart."""
+    """Characters that decompose: those of the whole basic plane with a single-letter result for translate, Latin ones with more apart."""
     one, to, many = [], [], []
-    for code in range(0xA0, 0x250):
+    for code in [*range(0xA0, 0xD800), *range(0xF900, 0x10000)]:
         char = chr(code)
         plain = "".join(x for x in unicodedata.normalize("NFKD", char) if not unicodedata.combining(x))
-        if plain == char:
+        if plain == char or unicodedata.combining(char):
             continue
         if len(plain) == 1:
             one.append(char)
             to.append(plain)
-        else:
+        elif code < 0x250 or 0x1E00 <= code < 0x1F00 or 0xFB00 <= code < 0xFB07:
             many.append((char, plain))
     return "".join(one), "".join(to), many
 
@@ -36,12 +36,12 @@ _EDGES = r"(?U)^\s+|\s+$"
 
 
 def strip_accents(c: Column) -> Column:
-    """Letters without diacritics (NFKD, marks dropped) for Latin text.
+    """NRM-1: letters without diacritics (NFKD, marks dropped), for all of the basic plane.
 
-    Combining marks U+0300-U+036F are removed as well; ligatures such as ``ﬁ`` beyond U+024F are replaced one by one.
+    Characters that stand for several (``ﬁ``, ``½``) are written out for Latin; squared and circled words stay.
     """
-    out = F.regexp_replace(F.translate(c, _ONE, _TO), "[̀-ͯ]", "")
-    for char, plain in [*_MANY, ("ﬁ", "fi"), ("ﬂ", "fl")]:
+    out = F.regexp_replace(F.translate(c, _ONE, _TO), r"\p{Mn}", "")
+    for char, plain in _MANY:
         out = F.replace(out, F.lit(char), F.lit(plain))
     return out
 

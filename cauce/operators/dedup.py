@@ -150,10 +150,10 @@ def name_blocks(open_rows: DataFrame) -> DataFrame:
 
 
 def fuzzy_candidates(open_rows: DataFrame, threshold: float = THRESHOLD, largest: int = LARGEST_BLOCK) -> DataFrame:
-    """DED-8: ``row_order, ancla``: greedy stars of similar names inside a block, anchors in row order.
+    """DED-8: ``row_order, grupo, ancla, metodo, confianza``: greedy stars of similar names inside a block, anchors in row order.
 
     An anchor takes the later free rows whose ratio reaches the threshold. A block has at most ``largest`` rows
-    (the rule of the method, blocks above it are counted by ``name_blocks``), so one task holds one small block.
+    (the rule of the method, ``skipped_blocks`` tells what it leaves out), so one task holds one small block.
     """
     block = ["municipio_nombre_normalizado", "prefijo"]
     sized = name_blocks(open_rows).filter(F.col("filas").between(2, largest)).drop("filas")
@@ -190,4 +190,11 @@ def fuzzy_candidates(open_rows: DataFrame, threshold: float = THRESHOLD, largest
         yield pd.DataFrame(stars(ids, names), columns=["row_order", "ancla"])
 
     rows = named.join(sized, block).repartition(*block).sortWithinPartitions(*block, "row_order")
-    return rows.select(*block, "row_order", "razon_social_normalizada").mapInPandas(walk, "row_order bigint, ancla bigint")
+    stars_of = cut(rows.select(*block, "row_order", "razon_social_normalizada").mapInPandas(walk, "row_order bigint, ancla bigint"))
+    ids = numbered(stars_of.select("ancla").distinct(), "ancla").select("ancla", F.format_string("CAND-FUZZY-%06d", "n").alias("grupo"))
+    return stars_of.join(ids, "ancla").select("row_order", "grupo", "ancla", F.lit("fuzzy_razon_social").alias("metodo"), F.lit("baja").alias("confianza"))
+
+
+def skipped_blocks(open_rows: DataFrame, largest: int = LARGEST_BLOCK) -> DataFrame:
+    """DED-8: ``bloques, filas``: the blocks beyond the largest that the method compares, and their rows."""
+    return name_blocks(open_rows).filter(F.col("filas") > largest).agg(F.count("*").alias("bloques"), F.coalesce(F.sum("filas"), F.lit(0)).alias("filas"))

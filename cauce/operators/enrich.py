@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cauce.functions.registry import lookup
+
 # The code that stands in for none, and the mark of the source for unusable ones.
 PLACEHOLDER_CODE, NOT_FOUND_MARK = "9999", "NO LOCALIZADO"
 
@@ -49,6 +51,27 @@ def ambiguous_places(rows: DataFrame, *by: str) -> DataFrame:
     return coded.withColumn("ambiguo", F.col("codigos") > 1)
 
 
+# What the levels of trust mean.
+TRUST_LEVELS = {
+    "confirmado": "Dato tomado directamente de fuente oficial sin transformación que altere su significado.",
+    "externo": "Dato de fuente externa de menor autoridad o certeza.",
+    "inferido": "Dato calculado o deducido por el sistema.",
+    "validado_manual": "Dato revisado y confirmado explícitamente por una persona del equipo.",
+}
+UNKNOWN_TRUST = "desconocido"
+
+
+def trust_description(level: Column) -> Column:
+    """ENR-3: what a level of trust means; null for unknown levels."""
+    return lookup(level, TRUST_LEVELS)
+
+
+def source_trust(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """ENR-3: ``source_id, nivel, filas``; rows are counted before the catalogue is joined."""
+    levels = sources.select("source_id", F.col("nivel_confianza_fuente").alias("nivel")).dropDuplicates(["source_id"])
+    return rows.groupBy("source_id").agg(F.count("*").alias("filas")).join(levels, "source_id", "left").na.fill(UNKNOWN_TRUST, ["nivel"])
+
+
 def reference_rank(rows: DataFrame, value: str, is_reference: Column) -> DataFrame:
     """SCO-5: ``value, percentil``: the share of reference rows that are not above each value.
 

@@ -18,7 +18,7 @@ from cauce.plans.registry import Registry
 from cauce.session import cut
 from cauce.sources import files
 from cauce.sources.tables import table
-from cauce.streaming.messages import with_entities
+from cauce.streaming.messages import once, with_entities
 
 R = Registry()
 N, G, E, X, S, I, M = "empresas_normalizado", "grupos_deduplicacion", "empresas_deduplicado", "empresas_con_exclusion", "empresas_scored", "claves_internas", "municipios_referencia"
@@ -44,18 +44,65 @@ def _ok(c: str) -> str:
     return f"CASE WHEN {c} <> '' AND NOT ({c}[1] BETWEEN '0' AND '9' AND replace({c}, {c}[1], '') = '') THEN {c} END"
 
 
+def _sorted_words(c: str) -> str:
+    return f"array_to_string(list_sort(string_split({_sq(c)}, ' ')), ' ')"
+
+
+def _ratio(source: str, keep: str) -> str:
+    """SQL: 200 * LCS / lengths of the columns ``a`` and ``b`` of ``source`` (up to 126 characters), by bits of a 128-bit number."""
+    masks = "list_transform(string_split(b, ''), lambda ch: coalesce(list_sum(list_transform(range(length(a)), lambda i: CASE WHEN substr(a, CAST(i + 1 AS BIGINT), 1) = ch THEN CAST(1 AS HUGEINT) << CAST(i AS HUGEINT) ELSE CAST(0 AS HUGEINT) END)), 0))"
+    return (
+        f"SELECT {keep}, CASE WHEN a = '' AND b = '' THEN 100.0 WHEN a = '' OR b = '' THEN 0.0 ELSE 200.0 * (length(a) - bit_count(list_reduce(list_prepend(lleno, masks), lambda r, m: ((r + (r & m)) | (r - (r & m))) & lleno))) / (length(a) + length(b)) END AS ratio "
+        f"FROM (SELECT *, (CAST(1 AS HUGEINT) << CAST(length(a) AS HUGEINT)) - 1 AS lleno, CAST({masks} AS HUGEINT[]) AS masks FROM {source})"
+    )
+
+
 # ---- sources ----
 
 
-@R.query("ing1_sources", "SELECT source_id, archivo FROM fuentes WHERE categoria = 'sectorial'")
+# sources whose files have one and the same header count as declared duplicates of the first of them
+_SOURCES = "f AS (SELECT *, nullif(min(source_id) OVER (PARTITION BY delimitador, encabezado), source_id) AS duplicado_de FROM fuentes), z AS (SELECT source_id, CAST(sum(length(linea)) AS BIGINT) AS tamano_bytes FROM registros_crudos GROUP BY 1)"
+_SMALL_LIMIT = 20_000
+
+
+def _catalogue(spark: SparkSession, d: str) -> DataFrame:
+    own = table(spark, d, "fuentes")
+    first = own.groupBy("delimitador", "encabezado").agg(F.min("source_id").alias("_first"))
+    sizes = table(spark, d, "registros_crudos").groupBy("source_id").agg(F.sum(F.length("linea")).alias("tamano_bytes"))
+    return own.join(first, ["delimitador", "encabezado"]).withColumn("duplicado_de", F.nullif("_first", "source_id")).drop("_first").join(sizes, "source_id", "left")
+
+
+@R.query("ing1_sources", f"WITH {_SOURCES} SELECT source_id, archivo, duplicado_de FROM f WHERE categoria = 'sectorial' AND duplicado_de IS NULL")
 def ing1(spark: SparkSession, d: str) -> DataFrame:
-    return files.listed(table(spark, d, "fuentes").withColumn("duplicado_de", F.lit(None).cast("string")), "sectorial").select("source_id", "archivo")
+    return files.listed(_catalogue(spark, d), "sectorial").select("source_id", "archivo", "duplicado_de")
 
 
-@R.query("ing15_rows_by_format", f"SELECT formato, count(DISTINCT f.source_id) AS fuentes, count(n.row_order) AS filas FROM fuentes f LEFT JOIN {N} n ON f.source_id = n.source_id GROUP BY 1")
+@R.query(
+    "ing2_triage",
+    f"WITH {_SOURCES} SELECT f.source_id, CASE WHEN coalesce(categoria = 'nacional', false) OR coalesce(tamano_bytes > {_SMALL_LIMIT}, false) THEN 'excluido_nacional' WHEN duplicado_de IS NOT NULL THEN 'omitido_duplicado' ELSE 'ingerir' END AS tratamiento FROM f LEFT JOIN z USING (source_id)",
+)
+def ing2(spark: SparkSession, d: str) -> DataFrame:
+    return files.triage(_catalogue(spark, d), largest=_SMALL_LIMIT).select("source_id", "tratamiento")
+
+
+@R.query("ing13_same_content", "SELECT sha256(encabezado) AS sha256, string_agg(source_id, ';' ORDER BY source_id) AS fuentes FROM fuentes GROUP BY 1 HAVING count(*) > 1")
+def ing13(spark: SparkSession, d: str) -> DataFrame:
+    hashes = table(spark, d, "fuentes").select("source_id", F.sha2("encabezado", 256).alias("sha256"))
+    return files.same_files(hashes).select("sha256", F.array_join("fuentes", ";").alias("fuentes"))
+
+
+@R.query("ing13_declared", f"WITH {_SOURCES} SELECT duplicado_de AS original, string_agg(source_id, ';' ORDER BY source_id) AS copias FROM f WHERE duplicado_de IS NOT NULL GROUP BY 1")
+def ing13_declared(spark: SparkSession, d: str) -> DataFrame:
+    return files.declared_duplicates(_catalogue(spark, d)).select("original", F.array_join("copias", ";").alias("copias"))
+
+
+@R.query(
+    "ing15_summary",
+    f"WITH {_SOURCES}, t AS (SELECT CASE WHEN coalesce(categoria = 'nacional', false) OR coalesce(tamano_bytes > {_SMALL_LIMIT}, false) THEN 'excluido_nacional' WHEN duplicado_de IS NOT NULL THEN 'omitido_duplicado' ELSE 'ingerir' END AS tratamiento, tamano_bytes FROM f LEFT JOIN z USING (source_id)) "
+    "SELECT tratamiento, count(*) AS fuentes, CAST(sum(tamano_bytes) AS BIGINT) AS bytes FROM t GROUP BY 1",
+)
 def ing15(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, N, "source_id").groupBy("source_id").agg(F.count("*").alias("n"))
-    return table(spark, d, "fuentes").join(rows, "source_id", "left").groupBy("formato").agg(F.count("*").alias("fuentes"), F.coalesce(F.sum("n"), F.lit(0)).alias("filas"))
+    return files.treatment_summary(_catalogue(spark, d), largest=_SMALL_LIMIT)
 
 
 # ---- cleansing ----
@@ -71,24 +118,24 @@ def nrm2(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, N).select("row_order", tx.comparison_text(F.col("razon_social")).alias("nombre"), tx.comparison_text(F.col("barrio_comercial")).alias("barrio"))
 
 
-@R.query("nrm3_tax_id", f"SELECT internal_order, {_dig('nit')} AS nit FROM {I}")
+@R.query("nrm3_tax_id", f"SELECT row_order, {_dig('nit')} AS nit FROM {N}")
 def nrm3(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, I).select("internal_order", tx.digits(F.col("nit")).alias("nit"))
+    return table(spark, d, N).select("row_order", tx.digits(F.col("nit")).alias("nit"))
 
 
-@R.query("nrm4_phone", f"SELECT internal_order, CASE WHEN {_cmp('telefono')} IS NOT NULL THEN {_dig('telefono')} END AS telefono FROM {I}")
+@R.query("nrm4_phone", f"SELECT row_order, " + ", ".join(f"CASE WHEN {_cmp(f'telefono_comercial_{i}')} IS NOT NULL THEN {_dig(f'telefono_comercial_{i}')} END AS telefono_{i}" for i in (1, 2, 3)) + f" FROM {N}")
 def nrm4(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, I).select("internal_order", tx.phone(F.col("telefono")).alias("telefono"))
+    return table(spark, d, N).select("row_order", *[tx.phone(F.col(f"telefono_comercial_{i}")).alias(f"telefono_{i}") for i in (1, 2, 3)])
 
 
-@R.query("nrm5_email", f"SELECT internal_order, CASE WHEN {_cmp('correo')} IS NOT NULL AND position('@' IN correo) > 0 THEN lower(trim(correo)) END AS correo FROM {I}")
+@R.query("nrm5_email", f"SELECT row_order, CASE WHEN {_cmp('email_comercial')} IS NOT NULL AND position('@' IN email_comercial) > 0 THEN lower(trim(email_comercial)) END AS correo FROM {N}")
 def nrm5(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, I).select("internal_order", tx.email(F.col("correo")).alias("correo"))
+    return table(spark, d, N).select("row_order", tx.email(F.col("email_comercial")).alias("correo"))
 
 
-@R.query("nrm6_declared_null", f"SELECT internal_order, {_cmp('nit')} IS NULL AS sin_nit, {_cmp('correo')} IS NULL AS sin_correo FROM {I}")
+@R.query("nrm6_declared_null", "SELECT row_order, " + ", ".join(f"{_cmp(c)} IS NULL AS sin_{c}" for c in ("nit", "email_comercial", "representante_legal", "tamano_empresa")) + f" FROM {N}")
 def nrm6(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, I).select("internal_order", tx.comparison_text(F.col("nit")).isNull().alias("sin_nit"), tx.comparison_text(F.col("correo")).isNull().alias("sin_correo"))
+    return table(spark, d, N).select("row_order", *[tx.comparison_text(F.col(c)).isNull().alias(f"sin_{c}") for c in ("nit", "email_comercial", "representante_legal", "tamano_empresa")])
 
 
 @R.query("nrm7_light_clean", f"SELECT row_order, CASE WHEN {_cmp('direccion_comercial')} IS NOT NULL THEN {_sq('direccion_comercial')} END AS v FROM {N}")
@@ -227,23 +274,12 @@ def ded13(spark: SparkSession, d: str) -> DataFrame:
 
 @R.query(
     "ded15_conflicts",
-    f"WITH j AS (SELECT g.entidad_dedup_id, n.tamano_empresa, n.telefono_comercial_1, n.municipio_comercial FROM {N} n JOIN {G} g USING (row_order)), "
-    "l AS (SELECT entidad_dedup_id, 'tamano_empresa' AS campo, tamano_empresa AS v FROM j UNION ALL SELECT entidad_dedup_id, 'telefono_comercial_1', telefono_comercial_1 FROM j UNION ALL SELECT entidad_dedup_id, 'municipio_comercial', municipio_comercial FROM j) "
-    "SELECT entidad_dedup_id, campo, string_agg(DISTINCT v, '|' ORDER BY v) AS valores FROM l WHERE v IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT v) > 1",
-)
-def ded15(spark: SparkSession, d: str) -> DataFrame:
-    found = dedup.conflict_values(_grouped(spark, d)).filter(F.col("campo").isin("tamano_empresa", "telefono_comercial_1", "municipio_comercial"))
-    return found.select("entidad_dedup_id", "campo", F.array_join("valores", "|").alias("valores"))
-
-
-@R.query(
-    "ded15_conflicts_all",
     f"WITH j AS (SELECT g.entidad_dedup_id, {', '.join('n.' + c for c in dedup.FIELDS)} FROM {N} n JOIN {G} g USING (row_order)), "
     f"l AS ({' UNION ALL '.join(f"SELECT entidad_dedup_id, '{c}' AS campo, CAST({c} AS VARCHAR) AS v FROM j" for c in dedup.FIELDS)}) "
     "SELECT entidad_dedup_id, campo, string_agg(DISTINCT v, '|' ORDER BY v) AS valores FROM l WHERE v IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT v) > 1",
 )
-def ded15_all(spark: SparkSession, d: str) -> DataFrame:
-    """The conflicts of every canonical field; ``ded15_conflicts`` has three of them."""
+def ded15(spark: SparkSession, d: str) -> DataFrame:
+    """The conflicts of every canonical field."""
     # an entity of one row has no conflict: most rows need not be taken apart into fields
     members = table(spark, d, G, "row_order", "entidad_dedup_id")
     several = members.groupBy("entidad_dedup_id").agg(F.count("*").alias("n")).filter("n > 1").select("entidad_dedup_id")
@@ -273,22 +309,32 @@ def ded8_blocks(spark: SparkSession, d: str) -> DataFrame:
     return dedup.name_blocks(_open(spark, d))
 
 
-@R.query("ded8_fuzzy")
+_STARS = (
+    f"o AS ({_OPEN}), c AS (SELECT razon_social_normalizada, municipio_nombre_normalizado FROM o GROUP BY 1, 2 HAVING count(*) > 1), f AS (SELECT o.row_order, o.municipio_nombre_normalizado AS mun, substr(o.razon_social_normalizada, 1, 4) AS pre, {_sorted_words('o.razon_social_normalizada')} AS t "
+    "FROM o WHERE (o.razon_social_normalizada, o.municipio_nombre_normalizado) NOT IN (SELECT (razon_social_normalizada, municipio_nombre_normalizado) FROM c)), "
+    "k AS (SELECT mun, pre, list(row_order ORDER BY row_order) AS filas FROM f GROUP BY 1, 2 HAVING count(*) BETWEEN 2 AND 300), "
+    "p AS (SELECT x.row_order AS i, y.row_order AS j, x.t AS a, y.t AS b FROM f x JOIN f y ON x.mun = y.mun AND x.pre = y.pre AND x.row_order < y.row_order JOIN k ON k.mun = x.mun AND k.pre = x.pre), "
+    f"r AS ({_ratio('p', 'i, j')}), n AS (SELECT i, list(j) AS cerca FROM r WHERE ratio >= 85 GROUP BY 1), "
+    "w AS (SELECT mun, pre, filas, CAST(NULL AS BIGINT) AS ancla, CAST([] AS BIGINT[]) AS grupo FROM k UNION ALL "
+    "SELECT w.mun, w.pre, list_filter(w.filas[2:], lambda j: NOT list_contains(coalesce(n.cerca, []), j)), w.filas[1], list_filter(w.filas[2:], lambda j: list_contains(coalesce(n.cerca, []), j)) FROM w LEFT JOIN n ON n.i = w.filas[1] WHERE len(w.filas) > 0), "
+    "stars AS (SELECT mun, pre, ancla, list_prepend(ancla, grupo) AS grupo FROM w WHERE len(grupo) > 0)"
+)
+
+
+@R.query("ded8_fuzzy", f"WITH RECURSIVE {_STARS} SELECT unnest(grupo) AS row_order, 'CAND-FUZZY-' || lpad(CAST(dense_rank() OVER (ORDER BY ancla) AS VARCHAR), 6, '0') AS grupo, ancla, 'fuzzy_razon_social' AS metodo, 'baja' AS confianza FROM stars")
 def ded8(spark: SparkSession, d: str) -> DataFrame:
     open_rows = _open(spark, d)
     grouped = dedup.name_place_candidates(open_rows).select("razon_social_normalizada", "municipio_nombre_normalizado")
     return dedup.fuzzy_candidates(open_rows.join(grouped, ["razon_social_normalizada", "municipio_nombre_normalizado"], "left_anti"))
 
 
-@R.query("ded9_ratio_self", f"SELECT n.row_order, 100.0 AS ratio FROM {N} n WHERE razon_social_normalizada IS NOT NULL")
-def ded9(spark: SparkSession, d: str) -> DataFrame:
-    name = F.col("razon_social_normalizada")
-    return table(spark, d, N).filter(name.isNotNull()).select("row_order", token_sort_ratio(name, F.array_join(F.reverse(F.split(name, " ")), " ")).alias("ratio"))
-
-
-@R.query("ded9_ratio_merged")
+@R.query(
+    "ded9_ratio_merged",
+    f"WITH p AS (SELECT n.row_order, {_sorted_words('n.razon_social_normalizada')} AS a, {_sorted_words(_cmp('e.razon_social'))} AS b FROM {N} n JOIN {G} g USING (row_order) JOIN {E} e ON g.entidad_dedup_id = e.entidad_dedup_id WHERE n.razon_social_normalizada IS NOT NULL), "
+    f"u AS (SELECT DISTINCT a, b FROM p WHERE b IS NOT NULL), r AS ({_ratio('u', 'a, b')}) SELECT row_order, ratio FROM p LEFT JOIN r USING (a, b)",
+)
 def ded9_merged(spark: SparkSession, d: str) -> DataFrame:
-    """Every row's name against the merged name of its entity; no SQL, because DuckDB has no longest common subsequence."""
+    """Every row's name against the merged name of its entity."""
     own = table(spark, d, N, "row_order", F.col("razon_social_normalizada").alias("a")).filter("a is not null").join(table(spark, d, G, "row_order", "entidad_dedup_id"), "row_order")
     merged = table(spark, d, E, "entidad_dedup_id", tx.comparison_text(F.col("razon_social")).alias("b"))
     return own.join(merged, "entidad_dedup_id").select("row_order", token_sort_ratio(F.col("a"), F.col("b")).alias("ratio"))
@@ -306,14 +352,16 @@ def ded16(spark: SparkSession, d: str) -> DataFrame:
 
 _SECTION = "CASE seccion " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in reg.SECTIONS.items()) + " END"
 _EXACT = "CASE codigo " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in reg.EXACT_CODES.items()) + " END"
+_SECTION_FIT = "CASE seccion " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in reg.SECTION_FIT.items()) + " END"
+_EXACT_FIT = "CASE codigo " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in reg.EXACT_FIT.items()) + " END"
 
 
-@R.query("enr1_sector", f"WITH c AS (SELECT row_order, nullif(regexp_extract(upper(trim(ciiu_1)), '^[A-Z][0-9]{{3,4}}'), '') AS codigo FROM {N}), s AS (SELECT *, codigo[1] AS seccion FROM c) SELECT row_order, nullif(seccion, '') AS seccion, codigo, coalesce({_EXACT}, {_SECTION}) AS sector FROM s")
+@R.query("enr1_sector", f"WITH c AS (SELECT row_order, nullif(regexp_extract(upper(trim(ciiu_1)), '^[A-Z][0-9]{{3,4}}'), '') AS codigo FROM {N}), s AS (SELECT *, codigo[1] AS seccion FROM c) SELECT row_order, nullif(s.seccion, '') AS seccion, codigo, coalesce({_EXACT}, {_SECTION}) AS sector, coalesce({_EXACT_FIT}, {_SECTION_FIT}) AS encaje, CASE WHEN coalesce(ciiu_1, '') = '' THEN 'Sin código CIIU' WHEN codigo IS NULL THEN 'No se reconoce el formato CIIU: ''' || substr(upper(trim(ciiu_1)), 1, 20) || '''' WHEN coalesce({_EXACT}, {_SECTION}) IS NULL THEN 'Sección CIIU ''' || seccion || ''' no mapeada' END AS nota FROM s JOIN {N} n USING (row_order)")
 def enr1(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, N).select("row_order", reg.activity(F.col("ciiu_1")).alias("a")).select("row_order", "a.*")
 
 
-_SIZES = "CASE " + _cmp("tamano_empresa").replace("CASE", "CASE", 1) + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in reg.DECLARED_SIZES.items()) + " END"
+_SIZES = "CASE " + _cmp("tamano_empresa") + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in reg.DECLARED_SIZES.items()) + " END"
 
 
 @R.query(
@@ -326,10 +374,9 @@ def enr2(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, N).select("row_order", reg.company_size(F.col("tamano_empresa"), F.col("num_empleados")).alias("a")).select("row_order", "a.*")
 
 
-@R.query("enr3_source_trust", f"SELECT n.source_id, f.nivel_confianza_fuente AS nivel, count(*) AS filas FROM {N} n LEFT JOIN fuentes f USING (source_id) GROUP BY 1, 2")
+@R.query("enr3_source_trust", f"SELECT n.source_id, coalesce(f.nivel_confianza_fuente, 'desconocido') AS nivel, count(*) AS filas FROM {N} n LEFT JOIN fuentes f USING (source_id) GROUP BY 1, 2")
 def enr3(spark: SparkSession, d: str) -> DataFrame:
-    levels = table(spark, d, "fuentes", "source_id", F.col("nivel_confianza_fuente").alias("nivel"))
-    return table(spark, d, N, "source_id").groupBy("source_id").agg(F.count("*").alias("filas")).join(levels, "source_id", "left")
+    return enrich.source_trust(table(spark, d, N, "source_id"), table(spark, d, "fuentes"))
 
 
 @R.query(
@@ -364,13 +411,13 @@ def enr8(spark: SparkSession, d: str) -> DataFrame:
 
 _INT = f"""
 i AS (SELECT internal_order, fuente_interna, {_ok(_dig('nit'))} AS nit_valido, {_ok('trim(matricula)')} AS matricula_valida, {_cmp('razon_social')} AS nombre,
-      {_cmp("CASE WHEN regexp_matches(municipio, '^ *[0-9]+ * - ') THEN regexp_replace(municipio, '^ *[0-9]+ * - ', '') ELSE municipio END")} AS lugar, tipo_antecedente FROM {I})
+      {_cmp("CASE WHEN regexp_matches(municipio, '^ *[0-9]+ * - ') THEN regexp_replace(municipio, '^ *[0-9]+ * - ', '') ELSE municipio END")} AS lugar, tipo_antecedente, fecha_referencia FROM {I})
 """
 
 
-@R.query("exc4_internal_keys", f"WITH {_INT} SELECT * FROM i")
+@R.query("exc4_internal_keys", f"WITH {_INT} SELECT * REPLACE (CAST(epoch(fecha_referencia) AS BIGINT) AS fecha_referencia) FROM i")
 def exc4(spark: SparkSession, d: str) -> DataFrame:
-    return exclude.internal_keys(table(spark, d, I))
+    return exclude.internal_keys(table(spark, d, I)).withColumn("fecha_referencia", F.unix_timestamp("fecha_referencia"))
 
 
 @R.query("exc7_key_stats", f"WITH {_INT} SELECT fuente_interna, count(*) AS filas, count(nit_valido) AS con_nit, count(matricula_valida) AS con_matricula, count(nombre) AS con_nombre FROM i GROUP BY 1")
@@ -404,7 +451,18 @@ def exc9(spark: SparkSession, d: str) -> DataFrame:
     return exclude.by_number(table(spark, d, X), exclude.internal_keys(table(spark, d, I)), table(spark, d, "fuentes"), "serena")
 
 
-@R.query("exc11_similar_names")
+_PENDING = (
+    f"hit AS (SELECT x.entidad_dedup_id FROM {X} x JOIN i ON {_ok(_dig('x.nit'))} = i.nit_valido UNION SELECT x.entidad_dedup_id FROM {X} x JOIN i ON x.razon_social_normalizada = i.nombre "
+    f"UNION SELECT x.entidad_dedup_id FROM {X} x JOIN i ON {_ok('x.matricula')} = i.matricula_valida WHERE EXISTS (SELECT 1 FROM fuentes s WHERE coalesce(s.camara_grupo, s.source_id) = 'serena' AND position(';' || s.source_id || ';' IN ';' || x.fuentes_consolidadas || ';') > 0))"
+)
+
+
+@R.query(
+    "exc11_similar_names",
+    f"WITH {_INT}, {_PENDING}, p AS (SELECT DISTINCT x.razon_social_normalizada AS na, x.municipio_nombre_normalizado AS lugar, i.nombre AS nb FROM {X} x JOIN i ON x.municipio_nombre_normalizado = i.lugar WHERE x.entidad_dedup_id NOT IN (SELECT entidad_dedup_id FROM hit) AND x.razon_social_normalizada IS NOT NULL AND i.nombre IS NOT NULL), "
+    f"s AS (SELECT *, {_sorted_words('na')} AS a, {_sorted_words('nb')} AS b FROM p), near AS (SELECT * FROM s WHERE 200.0 * least(length(a), length(b)) >= 85 * (length(a) + length(b))), r AS ({_ratio('near', 'na, lugar')}), m AS (SELECT na, lugar, max(ratio) AS mejor FROM r WHERE ratio >= 85 GROUP BY 1, 2) "
+    f"SELECT x.entidad_dedup_id, m.mejor FROM {X} x JOIN m ON x.razon_social_normalizada = m.na AND x.municipio_nombre_normalizado = m.lugar WHERE x.entidad_dedup_id NOT IN (SELECT entidad_dedup_id FROM hit)",
+)
 def exc11(spark: SparkSession, d: str) -> DataFrame:
     keys = exclude.internal_keys(table(spark, d, I))
     return exclude.similar_names(exclude.pending(table(spark, d, X), keys, table(spark, d, "fuentes"), "serena"), keys)
@@ -551,15 +609,15 @@ _DV_SUM = " + ".join(f"CAST(substr(pad, {i + 1}, 1) AS INTEGER) * {w}" for i, w
 
 @R.query(
     "leg2_query_id",
-    f"WITH a AS (SELECT internal_order, {_dig('nit')} AS d FROM {I}), b AS (SELECT *, coalesce(length(d) BETWEEN 7 AND 12, false) AS ok FROM a), c AS (SELECT *, CASE WHEN ok THEN substr(d, 1, length(d) - 1) END AS base, CASE WHEN ok THEN d[-1] END AS digito FROM b), "
-    f"p AS (SELECT *, CASE WHEN ok THEN lpad(base, 15, '0') END AS pad FROM c), q AS (SELECT *, CASE WHEN ok THEN ({_DV_SUM}) % 11 END AS r FROM p), z AS (SELECT *, CAST(CASE WHEN r <= 1 THEN r ELSE 11 - r END AS VARCHAR) AS calculado FROM q) SELECT internal_order, base, digito, calculado, digito = calculado AS coincide, ok AS consultable FROM z",
+    f"WITH a AS (SELECT row_order, {_dig('nit')} AS d FROM {N}), b AS (SELECT *, coalesce(length(d) BETWEEN 7 AND 12, false) AS ok FROM a), c AS (SELECT *, CASE WHEN ok THEN substr(d, 1, length(d) - 1) END AS base, CASE WHEN ok THEN d[-1] END AS digito FROM b), "
+    f"p AS (SELECT *, CASE WHEN ok THEN lpad(base, 15, '0') END AS pad FROM c), q AS (SELECT *, CASE WHEN ok THEN ({_DV_SUM}) % 11 END AS r FROM p), z AS (SELECT *, CAST(CASE WHEN r <= 1 THEN r ELSE 11 - r END AS VARCHAR) AS calculado FROM q) SELECT row_order, base, digito, calculado, digito = calculado AS coincide, ok AS consultable FROM z",
 )
 def leg2(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, I).select("internal_order", reg.query_id(F.col("nit")).alias("a")).select("internal_order", "a.*")
+    return table(spark, d, N).select("row_order", reg.query_id(F.col("nit")).alias("a")).select("row_order", "a.*")
 
 
 _L1 = "CASE " + " ".join(f"WHEN t LIKE '%{s}' THEN trim(left(t, length(t) - {len(s)}))" for s in reg.STATE_SUFFIXES) + " ELSE t END"
-_FORMS = [("\\b[S]\\.?\\s*A\\.?\\s*S\\.?\\s*$", "SAS"), ("\\bLTDA\\.?\\s*$", "LTDA"), ("\\bE\\.?\\s*U\\.?\\s*$", "EU"), ("\\bS\\.?\\s*A\\.?\\s*$", "SA")]
+_FORMS = reg.LEGAL_FORMS
 _L2 = "CASE " + " ".join(f"WHEN regexp_replace(s, '{p}', '{r}') <> s THEN regexp_replace(s, '{p}', '{r}')" for p, r in _FORMS) + " ELSE s END"
 
 
@@ -585,18 +643,20 @@ def leg4(spark: SparkSession, d: str) -> DataFrame:
 # ---- messages ----
 
 
-@R.query("msg4_entities", "SELECT doc_id, len(regexp_extract_all(text, '[\\w.-]+@[\\w.-]+\\.\\w+')) AS correos, len(regexp_extract_all(text, '(?:\\+57|57)?\\s?3[0-9]{9}|[0-9]{7,10}')) AS telefonos FROM documents WHERE lang = 'en' AND text NOT LIKE '%ñ%'")
-def msg4(spark: SparkSession, d: str) -> DataFrame:
-    found = table(spark, d, "documents", "doc_id", "text", "lang").filter(F.col("lang").eqNullSafe("en") & ~F.col("text").contains("ñ")).select("doc_id", reg.entities(F.col("text")).alias("e"))
-    return found.select("doc_id", F.size("e.emails").cast("bigint").alias("correos"), F.size("e.telefonos").cast("bigint").alias("telefonos"))
+# RE2 knows classes by property only; what Java calls a letter, a digit and white space of any script is spelt out
+_WORD, _DIGIT, _BLANK = "[\\p{L}\\p{Nl}\\p{M}\\p{Nd}\\p{Pc}]", "\\p{Nd}", "[\\s\\x0b\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+_MAILS = f"[{_WORD[1:-1]}.-]+@[{_WORD[1:-1]}.-]+\\.{_WORD}+"
+_CALLS = f"(?:\\+57|57)?{_BLANK}?3{_DIGIT}{{9}}|{_DIGIT}{{7,10}}"
+_SUMS = f"(?i)\\$?{_BLANK}?{_DIGIT}{{1,3}}(?:[.,]{_DIGIT}{{3}})*(?:[.,]{_DIGIT}{{2}})?{_BLANK}?(?:COP|pesos|cop)?"
 
 
-@R.query("msg4_entities_all")
-def msg4_all(spark: SparkSession, d: str) -> DataFrame:
-    """Every document and all three lists; no SQL, because RE2's classes are ASCII only and the method's are not."""
-    return with_entities(table(spark, d, "documents", "doc_id", "text")).select("doc_id", "entidades.*")
+@R.query("msg4_entities", "SELECT doc_id, " + ", ".join(f"array_to_string(regexp_extract_all(text, '{p}'), '|') AS {k}" for k, p in (("telefonos", _CALLS), ("emails", _MAILS), ("montos", _SUMS))) + " FROM documents")
+def msg4(spark: SparkSession, d: str) -> DataFrame:
+    """Every document and all three lists."""
+    found = with_entities(table(spark, d, "documents", "doc_id", "text"))
+    return found.select("doc_id", *[F.array_join(f"entidades.{k}", "|").alias(k) for k in ("telefonos", "emails", "montos")])
 
 
 @R.query("msg11_first_of_message", "SELECT message_id, min(doc_id) AS doc_id, count(*) AS veces FROM documents WHERE message_id IS NOT NULL GROUP BY 1")
 def msg11(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents", "doc_id", "message_id").filter("message_id is not null").groupBy("message_id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("veces"))
+    return once(table(spark, d, "documents", "doc_id", "message_id"))

@@ -39,9 +39,9 @@ def delimiter_of(line: str) -> str:
     return max(DELIMITERS, key=line.count)
 
 
-def triage(catalogue: DataFrame) -> DataFrame:
+def triage(catalogue: DataFrame, largest: int = LARGEST_SOURCE) -> DataFrame:
     """ING-2: ``tratamiento`` of each source: too large or national, exact duplicate, or to be ingested."""
-    national = F.coalesce(F.col("categoria") == "nacional", F.lit(False)) | F.coalesce(F.col("tamano_bytes") > LARGEST_SOURCE, F.lit(False))
+    national = F.coalesce(F.col("categoria") == "nacional", F.lit(False)) | F.coalesce(F.col("tamano_bytes") > largest, F.lit(False))
     return catalogue.withColumn("tratamiento", F.when(national, "excluido_nacional").when(F.col("duplicado_de").isNotNull(), "omitido_duplicado").otherwise("ingerir"))
 
 
@@ -51,9 +51,14 @@ def listed(catalogue: DataFrame, category: str | None = None, skip_duplicates: b
     return out.filter("duplicado_de is null") if skip_duplicates else out
 
 
-def treatment_summary(catalogue: DataFrame) -> DataFrame:
+def declared_duplicates(catalogue: DataFrame) -> DataFrame:
+    """ING-13: ``original, copias``: sources that are declared exact copies of another."""
+    return catalogue.filter("duplicado_de is not null").groupBy(F.col("duplicado_de").alias("original")).agg(F.array_sort(F.collect_list("source_id")).alias("copias"))
+
+
+def treatment_summary(catalogue: DataFrame, largest: int = LARGEST_SOURCE) -> DataFrame:
     """ING-15: sources and bytes by treatment."""
-    return triage(catalogue).groupBy("tratamiento").agg(F.count("*").alias("fuentes"), F.sum("tamano_bytes").alias("bytes"))
+    return triage(catalogue, largest).groupBy("tratamiento").agg(F.count("*").alias("fuentes"), F.sum("tamano_bytes").alias("bytes"))
 
 
 def read_csv(spark: SparkSession, path: str, source_id: str, encoding: str = "utf-8", delimiter: str = ",", multiline: bool = False) -> DataFrame:
@@ -79,7 +84,11 @@ def text_of(value: object) -> str | None:
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, float):
-        return str(int(value)) if value == int(value) else f"{value:f}".rstrip("0")
+        if value != value:
+            return None
+        if value in (float("inf"), float("-inf")):
+            return str(value)
+        return str(int(value)) if value == int(value) else f"{value:f}".rstrip("0").rstrip(".")
     if isinstance(value, datetime):
         return value.isoformat()
     return str(value)

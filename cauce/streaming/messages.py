@@ -14,6 +14,11 @@ def first_copies(messages: DataFrame, delay: str = "7 days") -> DataFrame:
     return timed.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["message_id"])
 
 
+def once(messages: DataFrame) -> DataFrame:
+    """MSG-11 on a table: ``message_id, doc_id, veces``: the first copy of every message and how often it came."""
+    return messages.filter("message_id is not null").groupBy("message_id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("veces"))
+
+
 def with_entities(messages: DataFrame) -> DataFrame:
     """MSG-4 on a stream or a table."""
     return messages.withColumn("entidades", entities(F.col("text")))

@@ -44,9 +44,10 @@ def test_typed_days(spark, value, wanted):
 
 
 def test_registry_expressions(spark):
-    assert tuple(one(spark, "G4773 ** Comercio", reg.activity)) == ("G", "G4773", "Salud / Farmacias")
-    assert tuple(one(spark, "i5611", reg.activity)) == ("I", "I5611", "Gastronomía y Hotelería")
-    assert tuple(one(spark, "4711", reg.activity)) == (None, None, None)
+    assert tuple(one(spark, "G4773 ** Comercio", reg.activity)) == ("G", "G4773", "Salud / Farmacias", "alto", None)
+    assert tuple(one(spark, "i5611", reg.activity)) == ("I", "I5611", "Gastronomía y Hotelería", "alto", None)
+    assert tuple(one(spark, "4711", reg.activity)) == (None, None, None, None, "No se reconoce el formato CIIU: '4711'")
+    assert one(spark, "", reg.activity).nota == one(spark, None, reg.activity).nota == "Sin código CIIU" and one(spark, "Z0001", reg.activity).nota == "Sección CIIU 'Z' no mapeada"
     sized = lambda d, e: tuple(spark.createDataFrame([(d, e)], "d string, e string").select(reg.company_size(F.col("d"), F.col("e")).alias("o")).first().o)
     assert sized("micro empresa", "950") == ("micro", "declarado_por_fuente", "confirmado")
     assert sized(None, "950")[0] == "grande" and sized("PEQUEÑA", "11")[:2] == ("pequeña", "inferido_por_empleados") and sized(None, "x")[0] == "sin_dato"

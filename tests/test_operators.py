@@ -48,9 +48,9 @@ def test_conflicts_of_every_field(spark, tmp_path):
     spark.createDataFrame(rows, "row_order bigint, " + ", ".join(f"{f} string" for f in dedup.FIELDS)).withColumns({c: F.lit("x") for c in ("source_id", "fuente_archivo", "hoja_origen", "fila_origen", "razon_social_normalizada", "municipio_nombre_normalizado")}).write.parquet(str(tmp_path / "empresas_normalizado.parquet"))
     groups = [(0, "a"), (1, "a"), (2, "b"), (3, "b")]
     spark.createDataFrame(groups, "row_order bigint, entidad_dedup_id string").withColumns({"metodo_deduplicacion": F.lit("nit"), "confianza_deduplicacion": F.lit("alta")}).write.parquet(str(tmp_path / "grupos_deduplicacion.parquet"))
-    got = {(r.entidad_dedup_id, r.campo): r.valores for r in entry.queries()["ded15_conflicts_all"](spark, str(tmp_path)).collect()}
+    got = {(r.entidad_dedup_id, r.campo): r.valores for r in entry.queries()["ded15_conflicts"](spark, str(tmp_path)).collect()}
     assert got == {("a", f): f"{f}0|{f}1" for f in dedup.FIELDS}
-    assert all(f"'{f}' AS campo" in entry.oracle_sql()["ded15_conflicts_all"] for f in dedup.FIELDS)
+    assert all(f"'{f}' AS campo" in entry.oracle_sql()["ded15_conflicts"] for f in dedup.FIELDS)
 
 
 def test_ratio_of_different_names(spark, tmp_path):

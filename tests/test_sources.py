@@ -83,7 +83,7 @@ def test_entities_of_every_message(spark, tmp_path):
     ]
     rows = [(f"d{i}", t, lang) for i, (lang, t) in enumerate(texts)]
     spark.createDataFrame(rows, "doc_id string, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.doc_id: r for r in entry.queries()["msg4_entities_all"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r for r in entry.queries()["msg4_entities"](spark, str(tmp_path)).collect()}
     assert len(got) == len(rows)
     for key, text, _ in rows:
         for column, (pattern, flags) in patterns.items():
