@@ -123,6 +123,13 @@ def check_digit(base: Column) -> Column:
     return F.aggregate(terms, F.lit(0), lambda a, b: a + b, lambda total: F.get(F.array(*[F.lit(str(r if r <= 1 else 11 - r)) for r in range(11)]), total % 11))
 
 
+def askable_id(c: Column) -> Column:
+    """LEG-2: ``base, digito, consultable`` of a tax id, without computing its check digit."""
+    clean = digits(c)
+    usable = F.coalesce(F.length(clean).between(*QUERY_ID_LENGTHS), F.lit(False))
+    return F.struct(F.when(usable, F.substring(clean, F.lit(1), F.length(clean) - 1)).alias("base"), F.when(usable, F.substring(clean, -1, 1)).alias("digito"), usable.alias("consultable"))
+
+
 def query_id(c: Column) -> Column:
     """LEG-2: ``base, digito, calculado, coincide, consultable`` of a tax id of 7 to 12 digits."""
     clean = digits(c)

@@ -123,10 +123,14 @@ def masters(grouped: DataFrame) -> DataFrame:
 
 
 def conflict_values(grouped: DataFrame) -> DataFrame:
-    """DED-15: ``entidad_dedup_id, campo, valores``: the distinct values of fields that disagree, sorted."""
+    """DED-15: ``entidad_dedup_id, campo, valor, filas``: each value of the fields that disagree in an entity, with its rows.
+
+    One row for each value, so an entity of any size is never held in one place.
+    """
     long = grouped.select("entidad_dedup_id", F.explode(F.array(*[F.struct(F.lit(c).alias("campo"), F.col(c).alias("valor")) for c in FIELDS])).alias("p")).select("entidad_dedup_id", "p.*").filter("valor is not null")
-    values = long.groupBy("entidad_dedup_id", "campo").agg(F.array_sort(F.collect_set("valor")).alias("valores"))
-    return values.filter(F.size("valores") > 1)
+    values = long.groupBy("entidad_dedup_id", "campo", "valor").agg(F.count("*").alias("filas"))
+    several = values.groupBy("entidad_dedup_id", "campo").agg(F.count("*").alias("n")).filter("n > 1").select("entidad_dedup_id", "campo")
+    return values.join(several, ["entidad_dedup_id", "campo"], "left_semi")
 
 
 def name_place_candidates(open_rows: DataFrame) -> DataFrame:
@@ -159,7 +163,7 @@ def fuzzy_candidates(open_rows: DataFrame, threshold: float = THRESHOLD, largest
     sized = name_blocks(open_rows).filter(F.col("filas").between(2, largest)).drop("filas")
     named = open_rows.select("row_order", "razon_social_normalizada", "municipio_nombre_normalizado", F.substring("razon_social_normalizada", 1, 4).alias("prefijo"))
 
-    def stars(ids: list[int], names: list[str]) -> list[tuple[int, int]]:
+    def stars(ids: list[int], names: list[str]) -> list[tuple[int, int, int]]:
         texts = [" ".join(sorted(t.split())) for t in names]
         used: set[int] = set()
         out = []
@@ -172,29 +176,58 @@ def fuzzy_candidates(open_rows: DataFrame, threshold: float = THRESHOLD, largest
             ]
             if near:
                 used |= {i, *near}
-                out += [(ids[k], ids[i]) for k in (i, *near)]
+                out += [(ids[k], ids[i], ids[0]) for k in (i, *near)]
         return out
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come block by block; a block that a batch cuts is held until its last row."""
         key, ids, names = None, [], []
         for b in batches:
-            out: list[tuple[int, int]] = []
+            out: list[tuple[int, int, int]] = []
             for place, prefix, row, name in zip(b["municipio_nombre_normalizado"], b["prefijo"], b["row_order"], b["razon_social_normalizada"], strict=True):
                 if (place, prefix) != key:
                     out += stars(ids, names)
                     key, ids, names = (place, prefix), [], []
                 ids.append(row)
                 names.append(name)
-            yield pd.DataFrame(out, columns=["row_order", "ancla"])
-        yield pd.DataFrame(stars(ids, names), columns=["row_order", "ancla"])
+            yield pd.DataFrame(out, columns=["row_order", "ancla", "bloque"])
+        yield pd.DataFrame(stars(ids, names), columns=["row_order", "ancla", "bloque"])
 
     rows = named.join(sized, block).repartition(*block).sortWithinPartitions(*block, "row_order")
-    stars_of = cut(rows.select(*block, "row_order", "razon_social_normalizada").mapInPandas(walk, "row_order bigint, ancla bigint"))
-    ids = numbered(stars_of.select("ancla").distinct(), "ancla").select("ancla", F.format_string("CAND-FUZZY-%06d", "n").alias("grupo"))
+    stars_of = cut(rows.select(*block, "row_order", "razon_social_normalizada").mapInPandas(walk, "row_order bigint, ancla bigint, bloque bigint"))
+    # numbers follow the first row of the block, then the anchor
+    ids = numbered(stars_of.select("bloque", "ancla").distinct(), "bloque", "ancla").select("ancla", F.format_string("CAND-FUZZY-%06d", "n").alias("grupo"))
     return stars_of.join(ids, "ancla").select("row_order", "grupo", "ancla", F.lit("fuzzy_razon_social").alias("metodo"), F.lit("baja").alias("confianza"))
 
 
 def skipped_blocks(open_rows: DataFrame, largest: int = LARGEST_BLOCK) -> DataFrame:
     """DED-8: ``bloques, filas``: the blocks beyond the largest that the method compares, and their rows."""
     return name_blocks(open_rows).filter(F.col("filas") > largest).agg(F.count("*").alias("bloques"), F.coalesce(F.sum("filas"), F.lit(0)).alias("filas"))
+
+
+def run_stats(keys: DataFrame, rows: DataFrame) -> DataFrame:
+    """DED-16: ``estadistica, valor``: the figures of a run, from the working columns (``keyed``) and the rows.
+
+    Every figure is a sum of an aggregate; no group is held.
+    """
+    merged = cut(merged_keys(keys).join(keys.select("row_order", "nit_valido", "municipio"), "row_order"))
+    groups = merged.filter("clave is not null").groupBy("metodo_deduplicacion", "clave").agg(F.count("*").alias("n"))
+    by = {r.metodo_deduplicacion: (r.g, r.n) for r in groups.groupBy("metodo_deduplicacion").agg(F.count("*").alias("g"), F.sum("n").alias("n")).collect()}
+    of = lambda *kinds: (sum(by.get(k, (0, 0))[0] for k in kinds), sum(by.get(k, (0, 0))[1] for k in kinds))
+    alone = merged.filter("clave is null").count()
+    ids = merged.filter("nit_valido is not null").groupBy("nit_valido").agg(F.min("municipio").alias("lo"), F.max("municipio").alias("hi"), F.count_if(F.col("municipio").isNull()).alias("sin"))
+    several = ids.filter(F.col("lo") != F.col("hi")).agg(F.count("*").alias("n"), F.coalesce(F.sum("sin"), F.lit(0)).alias("sin")).first()
+    open_rows = rows.join(merged.filter("clave is null").select("row_order"), "row_order")
+    same = cut(name_place_candidates(open_rows))
+    named = same.agg(F.count("*").alias("g"), F.coalesce(F.sum("filas"), F.lit(0)).alias("n"), F.count_if(F.col("confianza") == "media").alias("ok")).first()
+    left = open_rows.join(same.select("razon_social_normalizada", "municipio_nombre_normalizado"), ["razon_social_normalizada", "municipio_nombre_normalizado"], "left_anti")
+    near = fuzzy_candidates(left).agg(F.count_distinct("grupo").alias("g"), F.count("*").alias("n")).first()
+    skipped = skipped_blocks(left).first()
+    (g_id, n_id), (g_mat, n_mat) = of("nit", "nit_multisede"), of("matricula_camara")
+    total = alone + n_id + n_mat
+    figures = [
+        ("registros_entrada", total), ("registros_salida", alone + g_id + g_mat), ("n_grupos_nit", g_id), ("n_registros_nit", n_id), ("n_nit_multisede", several.n), ("n_filas_nit_multisede_sin_municipio", several.sin),
+        ("n_grupos_matricula", g_mat), ("n_registros_matricula", n_mat), ("n_grupos_rs_mun", named.g), ("n_registros_rs_mun", named.n), ("n_grupos_rs_mun_corroborados", named.ok), ("n_grupos_fuzzy", near.g), ("n_registros_fuzzy", near.n),
+        ("n_bloques_fuzzy_omitidos", skipped.bloques), ("n_registros_en_bloques_omitidos", skipped.filas),
+    ]
+    return keys.sparkSession.createDataFrame([(k, int(v)) for k, v in figures], "estadistica string, valor bigint")

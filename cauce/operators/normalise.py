@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cauce.functions.text import blank, comparison_text, light_clean, place_parts
+from cauce.operators.parse_rows import CANONICAL as HEADERS
 
 
 def column_name(name: str) -> str:
@@ -54,6 +55,15 @@ def canonical(source: DataFrame, synonyms: dict[str, list[str]], fields: list[st
     return source.select(*keep, *[(light_clean(first_filled(*[quoted(c) for c in by_field[f]])) if f in by_field else F.lit(None).cast("string")).alias(f) for f in fields])
 
 
+# Fixed value: how categories of internal sources begin.
+INTERNAL = "interno"
+
+
+def external(catalogue: DataFrame) -> DataFrame:
+    """NRM-15: the sources that are normalised; internal ones are left out."""
+    return catalogue.filter(~F.coalesce(F.col("categoria").startswith(INTERNAL), F.lit(False)))
+
+
 def union_sources(sources: list[DataFrame]) -> DataFrame:
     """NRM-15: all rows of all sources by column name; missing columns are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
@@ -76,3 +86,28 @@ def quality(rows: DataFrame, fields: list[str]) -> DataFrame:
     return rows.groupBy("source_id").agg(
         F.count("*").alias("filas"), F.count_if(blank(F.col("nit")) & blank(F.col("razon_social"))).alias("sin_identificador"), F.count_if(F.col("municipio_codigo_dane_extraido").isNotNull()).alias("con_codigo"), *filled
     )
+
+
+def header_report(header: list[str], synonyms: dict[str, list[str]] = HEADERS) -> tuple[int, int, str, str]:
+    """NRM-16: columns of a source, those mapped, the names of the others, and fields that several columns mean (``campo<-a,b``)."""
+    mapped = mapped_columns(header, synonyms)
+    by_field: dict[str, list[str]] = {}
+    for column, name in mapped.items():
+        if name:
+            by_field.setdefault(name, []).append(column)
+    return len(header), sum(v is not None for v in mapped.values()), "; ".join(sorted(c for c, v in mapped.items() if v is None)), "; ".join(f"{k}<-{','.join(v)}" for k, v in by_field.items() if len(v) > 1)
+
+
+def source_report(rows: DataFrame, catalogue: DataFrame, synonyms: dict[str, list[str]] = HEADERS) -> DataFrame:
+    """NRM-16, SNK-3: the 11 columns of the quality report, a row for each source of the catalogue (a small table, read by the driver)."""
+    described = [
+        (r.source_id, r.archivo, r.categoria, *header_report([h.strip() for h in (r.encabezado or "").split((r.delimitador or ",").replace("\\t", "\t"))], synonyms))
+        for r in catalogue.select("source_id", "archivo", "categoria", "encabezado", "delimitador").collect()
+    ]
+    named = rows.sparkSession.createDataFrame(described, "source_id string, archivo string, categoria string, columnas_originales bigint, columnas_mapeadas bigint, columnas_sin_mapear string, colisiones string")
+    counts = rows.groupBy("source_id").agg(F.count("*").alias("registros"), F.count_if("sin_identificador").alias("registros_sin_identificador"), F.count_if("flag_codigo_dane_ambiguo").alias("registros_dane_ambiguo"))
+    out = named.join(counts, "source_id", "left").na.fill(0, ["registros", "registros_sin_identificador", "registros_dane_ambiguo"])
+    share = F.when(F.col("registros") > 0, 100.0 * F.col("registros_sin_identificador") / F.col("registros")).otherwise(0.0)
+    return out.select(
+        "source_id", "archivo", "categoria", "registros", "columnas_originales", "columnas_mapeadas", "columnas_sin_mapear", "colisiones", "registros_sin_identificador", F.format_string("%.1f", share).alias("pct_sin_identificador"), "registros_dane_ambiguo"
+    )

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cauce.functions import registry as reg
-from cauce.operators import dedup, exclude, scoring
-from cauce.plans.reference import _INT, E, G, I, N, X, _cmp, _dig, _ok, _ratio, _sorted_words
+from cauce.functions import messages as msg
+from cauce.operators import dedup, exclude, legal, normalise, rank, register, reports, scoring
+from cauce.operators.numbering import numbered
+from cauce.plans.reference import _INT, _KEYS, _L1, _L2, E, G, I, N, S, X, _cmp, _dig, _ok, _ratio, _sorted_words, _stars
 from cauce.plans.registry import Registry
 from cauce.sources.tables import table
 
@@ -168,3 +170,191 @@ def sco13(spark: SparkSession, d: str) -> DataFrame:
     part = lambda name, c, w: F.when(F.col(c).isNotNull(), F.struct(F.lit(name).alias("nombre"), F.format_string("%.2f", F.round(c, 2)).alias("valor"), (F.col(c) * (100 * w)).alias("contribucion")))
     parts = F.array_compact(F.array(part("Encaje", "score_fit", 0.40), part("Escala", "score_escala", 0.35), part("Contacto", "score_contactabilidad", 0.25)))
     return rows.select("entidad_dedup_id", scoring.explained(scoring.priority_band(F.col("score_base")), F.col("score_base"), parts).alias("texto"))
+
+
+# ---- figures of the deduplication ----
+
+_STATS = f"""
+WITH RECURSIVE {_KEYS}, {_stars("SELECT * FROM e WHERE metodo = 'sin_consolidar' AND razon_social_normalizada IS NOT NULL AND municipio_nombre_normalizado IS NOT NULL")},
+cand AS (
+  SELECT count(*) AS n, (count(direccion_comercial) = count(*) AND count(DISTINCT direccion_comercial) = 1) OR (count(telefono_comercial_1) = count(*) AND count(DISTINCT telefono_comercial_1) = 1)
+    OR (count(email_comercial) = count(*) AND count(DISTINCT email_comercial) = 1) AS ok FROM so GROUP BY razon_social_normalizada, municipio_nombre_normalizado HAVING count(*) > 1),
+big AS (SELECT count(*) AS n FROM sf GROUP BY mun, pre HAVING count(*) > 300)
+SELECT 'registros_entrada' AS estadistica, count(*) AS valor FROM e UNION ALL SELECT 'registros_salida', count(DISTINCT ent) FROM e
+UNION ALL SELECT 'n_grupos_nit', count(DISTINCT clave) FROM e WHERE metodo IN ('nit', 'nit_multisede') UNION ALL SELECT 'n_registros_nit', count(*) FROM e WHERE metodo IN ('nit', 'nit_multisede')
+UNION ALL SELECT 'n_nit_multisede', count(DISTINCT nk) FROM e WHERE nk IS NOT NULL AND seats > 1 UNION ALL SELECT 'n_filas_nit_multisede_sin_municipio', count(*) FROM e WHERE nk IS NOT NULL AND seats > 1 AND mun IS NULL
+UNION ALL SELECT 'n_grupos_matricula', count(DISTINCT clave) FROM e WHERE metodo = 'matricula_camara' UNION ALL SELECT 'n_registros_matricula', count(*) FROM e WHERE metodo = 'matricula_camara'
+UNION ALL SELECT 'n_grupos_rs_mun', count(*) FROM cand UNION ALL SELECT 'n_registros_rs_mun', CAST(coalesce(sum(n), 0) AS BIGINT) FROM cand UNION ALL SELECT 'n_grupos_rs_mun_corroborados', count(*) FROM cand WHERE ok
+UNION ALL SELECT 'n_grupos_fuzzy', count(*) FROM stars UNION ALL SELECT 'n_registros_fuzzy', CAST(coalesce(sum(len(grupo)), 0) AS BIGINT) FROM stars
+UNION ALL SELECT 'n_bloques_fuzzy_omitidos', count(*) FROM big UNION ALL SELECT 'n_registros_en_bloques_omitidos', CAST(coalesce(sum(n), 0) AS BIGINT) FROM big
+"""
+
+
+@R.query("ded16_run_stats", _STATS)
+def ded16_run(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.run_stats(dedup.keyed(table(spark, d, N), table(spark, d, "fuentes")), table(spark, d, N))
+
+
+# ---- ranking and export ----
+
+
+@R.query("div9_figures")
+def div9(spark: SparkSession, d: str) -> DataFrame:
+    """The figures of a run of the sequential selection."""
+    return rank.ranked(table(spark, d, S), 100)[1]
+
+
+@R.query(
+    "div10_universe",
+    f"SELECT count(*) AS total, count(*) FILTER (estado_exclusion = 'SIN_COINCIDENCIA') AS elegibles, count(*) FILTER (estado_exclusion = 'CANDIDATO_AMBIGUO') AS ambiguos, count(*) FILTER (NOT coalesce(estado_exclusion IN ('SIN_COINCIDENCIA', 'CANDIDATO_AMBIGUO'), false)) AS excluidos FROM {S}",
+)
+def div10(spark: SparkSession, d: str) -> DataFrame:
+    return rank.universe(table(spark, d, S))
+
+
+@R.query("div12_score_loss")
+def div12_loss(spark: SparkSession, d: str) -> DataFrame:
+    """Mean scores of the pure and the diversified list."""
+    rows = table(spark, d, S)
+    return rank.score_loss(rank.pure_top(rows, 100), rank.diversified(rows, 100))
+
+
+@R.query("rep1_export")
+def rep1(spark: SparkSession, d: str) -> DataFrame:
+    """The exported list with its 20 columns, checked."""
+    return reports.check_list(reports.top_export(table(spark, d, S), 100), 100)
+
+
+@R.query("rep4_other_state", f"SELECT entidad_dedup_id, estado_exclusion FROM {S} WHERE estado_exclusion IS DISTINCT FROM 'SIN_COINCIDENCIA'")
+def rep4(spark: SparkSession, d: str) -> DataFrame:
+    return reports.other_state(table(spark, d, S)).select("entidad_dedup_id", "estado_exclusion")
+
+
+@R.query(
+    "rep9_bands",
+    f"SELECT CASE WHEN score_prioridad_comercial >= 70 THEN 'ALTA' WHEN score_prioridad_comercial >= 45 THEN 'MEDIA' WHEN score_prioridad_comercial IS NOT NULL THEN 'BAJA' END AS prioridad, count(*) AS filas FROM {S} GROUP BY 1",
+)
+def rep9(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, S).groupBy(scoring.priority_band(F.col("score_prioridad_comercial")).alias("prioridad")).agg(F.count("*").alias("filas"))
+
+
+# ---- legal registry ----
+
+# registry rows stand for the answers: a record for each row with a usable id; ids divisible by seven are not answered
+_BASE = f"CASE WHEN length({_dig('nit')}) BETWEEN 7 AND 12 THEN substr({_dig('nit')}, 1, length({_dig('nit')}) - 1) END"
+_COMPARABLE = "nullif(trim(regexp_replace(regexp_replace({l2}, '[.,;:''\"()]', ' ', 'g'), '\\s+', ' ', 'g')), '')".replace("{l2}", _L2)
+_LEGAL = f"""
+WITH rec AS (
+  SELECT {_BASE} AS b, right({_dig('nit')}, 1) AS dv, row_order AS o, razon_social AS rs, representante_legal AS rep, CASE WHEN estado_matricula LIKE '%ACTIV%' THEN 'ACTIVA' ELSE estado_matricula END AS est, matricula AS mat, source_id AS cam,
+         CASE WHEN upper(tipo_organizacion) = 'PERSONA NATURAL' THEN 'PERSONA NATURAL' END AS org FROM {N} WHERE {_BASE} IS NOT NULL),
+ans AS (SELECT b, CAST(b AS HUGEINT) % 7 <> 0 AS ok, count(*) AS n, count(*) FILTER (est = 'ACTIVA') AS vig, count(*) FILTER (est = 'CANCELADA') AS his, min(o) AS first_, min(o) FILTER (est = 'ACTIVA') AS force_ FROM rec GROUP BY 1),
+pro AS (SELECT entidad_dedup_id, nit, razon_social, row_number() OVER (ORDER BY entidad_dedup_id) AS pos, {_BASE} AS b, right({_dig('nit')}, 1) AS dv FROM {E}),
+j AS (SELECT p.*, a.ok, a.n, n > 1 AND vig = 1 AND his = n - 1 AS res, CASE WHEN n = 1 THEN first_ WHEN n > 1 AND vig = 1 AND his = n - 1 THEN force_ END AS pick FROM pro p LEFT JOIN ans a USING (b)),
+k AS (SELECT j.*, r.b AS rb, r.dv AS rdv, r.rs, r.rep, r.est, r.mat, r.cam, r.org FROM j LEFT JOIN rec r ON r.o = j.pick),
+t1 AS (SELECT entidad_dedup_id AS key, {_cmp('razon_social')} AS t FROM k), s1 AS (SELECT key, {_L1} AS s FROM t1), n1 AS (SELECT key, {_COMPARABLE} AS a FROM s1),
+t2 AS (SELECT entidad_dedup_id AS key, {_cmp('rs')} AS t FROM k), s2 AS (SELECT key, {_L1} AS s FROM t2), n2 AS (SELECT key, {_COMPARABLE} AS z FROM s2),
+m AS (
+  SELECT k.*, CASE WHEN b IS NULL THEN 'NO_CONSULTABLE' WHEN NOT coalesce(ok, false) THEN 'ERROR_CONSULTA' WHEN n = 0 THEN 'NO_MATCH' WHEN n > 1 AND res THEN 'MATCH_RESUELTO_HISTORICO' WHEN n > 1 THEN 'ERROR_CONSULTA'
+    WHEN coalesce(a = z OR position(z IN a) > 0 OR position(a IN z) > 0, false) AND rdv IS NOT DISTINCT FROM dv THEN 'MATCH_CONFIRMADO' ELSE 'MATCH_CON_OBSERVACION' END AS resultado
+  FROM k JOIN n1 ON k.entidad_dedup_id = n1.key JOIN n2 ON k.entidad_dedup_id = n2.key)
+"""
+
+
+def _enriched(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, N).withColumn("q", reg.askable_id(F.col("nit"))).filter("q.consultable")
+    state = F.when(F.col("estado_matricula").contains("ACTIV"), "ACTIVA").otherwise(F.col("estado_matricula"))
+    responses = rows.select(
+        F.col("q.base").alias("nit_consultado"), (F.col("q.base").cast("decimal(20,0)") % 7 != 0).alias("ok"), F.col("row_order").alias("orden"), F.col("q.base").alias("nit"), F.col("q.digito").alias("digito_verificacion"), "razon_social", "representante_legal",
+        state.alias("estado_matricula"), "matricula", F.col("source_id").alias("camara_comercio"), F.when(F.upper("tipo_organizacion") == legal.NATURAL, legal.NATURAL).alias("organizacion_juridica"),
+    )
+    return legal.enriched(numbered(table(spark, d, E, "entidad_dedup_id", "nit", "razon_social"), "entidad_dedup_id", name="posicion_diversificada"), responses)
+
+
+_IF = "CASE WHEN resultado LIKE 'MATCH%' THEN {} END AS {}"
+
+
+@R.query(
+    "leg8_enriched",
+    _LEGAL
+    + "SELECT entidad_dedup_id, pos AS posicion_diversificada, nit, resultado AS resultado_match, b AS nit_consultado, "
+    + ", ".join(_IF.format(a, b) for a, b in (("rb", "nit_confecamaras"), ("rdv", "digito_verificacion"), ("rs", "razon_social_confecamaras"), ("est", "estado_matricula"), ("mat", "matricula"), ("cam", "camara_comercio")))
+    + ", " + _IF.format("CASE WHEN org = 'PERSONA NATURAL' THEN 'no aplica' WHEN trim(coalesce(rep, '')) = '' THEN 'no informado por la fuente' ELSE rep END", "representante_legal") + " FROM m",
+)
+def leg8(spark: SparkSession, d: str) -> DataFrame:
+    return _enriched(spark, d)
+
+
+@R.query("leg14_outcomes", _LEGAL + "SELECT resultado AS resultado_match, count(*) AS filas FROM m GROUP BY 1")
+def leg14(spark: SparkSession, d: str) -> DataFrame:
+    return legal.outcome_counts(_enriched(spark, d))
+
+
+# ---- messages and the register ----
+
+
+def _has(text: str, words: list[str]) -> str:
+    return "(" + " OR ".join(f"position('{w}' IN {text}) > 0" for w in words) + ")"
+
+
+def _danger(which: int) -> str:
+    """SQL: the intent (0) or the reason (1) of the first rule of safety that a text breaks."""
+    both = " AND ".join(f"position('{w}' IN lower(text)) > 0" for w in msg.THIRD_PARTY[2])
+    return "CASE " + " ".join(f"WHEN {_has('lower(text)', r[2])} THEN '{r[which]}'" for r in msg.SAFETY) + f" WHEN {both} THEN '{msg.THIRD_PARTY[which]}' END"
+
+
+_ORDER = sorted(msg.INTENTS.items(), key=lambda x: -x[1][0])
+_WISH = "CASE " + " ".join(f"WHEN {_has('lower(trim(text))', words)} THEN '{k}'" for k, (_, words) in _ORDER) + f" ELSE '{msg.UNKNOWN}' END"
+_WORD = "CASE " + " ".join(f"WHEN position('{w}' IN lower(trim(text))) > 0 THEN '{w}'" for _, (_, words) in _ORDER for w in words) + " END"
+
+
+def _by_wish(values: dict[str, str], otherwise: str) -> str:
+    return "CASE wish " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in values.items()) + f" ELSE {otherwise} END"
+
+
+_SURE = _by_wish({k: str(c) for k, (c, _) in msg.INTENTS.items()}, "0.0")
+_RISK = _by_wish({k: f"'{v[0]}'" for k, v in msg.RISKS.items()}, "'LOW'")
+_ASK = _by_wish({k: str(v[1]).lower() for k, v in msg.RISKS.items()}, "false")
+_BECAUSE = _by_wish({k: f"'{v[2]}'" for k, v in msg.RISKS.items() if v[2]}, "NULL")
+
+
+@R.query(
+    "msg5_classified",
+    f"WITH c AS (SELECT doc_id, {_danger(0)} AS danger, {_danger(1)} AS why, {_WISH} AS wish, {_WORD} AS palabra FROM documents WHERE text IS NOT NULL) "
+    f"SELECT doc_id, coalesce(danger, wish) AS intent, CASE WHEN danger IS NOT NULL THEN 1.0 ELSE {_SURE} END AS confianza, CASE WHEN danger IS NULL THEN palabra END AS palabra, CASE WHEN danger IS NOT NULL THEN 'CRITICAL' ELSE {_RISK} END AS riesgo, "
+    f"danger IS NOT NULL OR {_ASK} AS requiere_aprobacion, coalesce(why, {_BECAUSE}) AS motivo FROM c",
+)
+def msg5(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents", "doc_id", "text").filter("text is not null")
+    return msg.classified(rows).drop("text", "entidades")
+
+
+_VOCABULARIES = {"bic": ["SI", "NO"], "grupo_niif": ["1", "2", "3"], "categoria_matricula": ["PRINCIPAL", "SUCURSAL"]}
+_ERRORS = " || ".join(f"CASE WHEN coalesce({k}, '') <> '' AND {k} NOT IN ({', '.join(repr(x) for x in v)}) THEN '{k}: ''' || {k} || ''' no es válido;' ELSE '' END" for k, v in _VOCABULARIES.items())
+
+
+@R.query("int1_vocabulary_errors", f"SELECT row_order, {_ERRORS} AS errores FROM {N}")
+def int1(spark: SparkSession, d: str) -> DataFrame:
+    found = register.vocabulary_errors(table(spark, d, N, "row_order", *_VOCABULARIES), _VOCABULARIES)
+    return found.select("row_order", F.array_join(F.transform("errores", lambda e: F.concat(e, F.lit(";"))), "").alias("errores"))
+
+
+@R.query("int3_next_numbers", f"SELECT source_id, max(fila_origen) + 1 AS siguiente FROM {N} GROUP BY 1")
+def int3(spark: SparkSession, d: str) -> DataFrame:
+    return register.next_numbers(table(spark, d, N), "source_id", "fila_origen")
+
+
+# ---- reports of the normalisation ----
+
+_MAPPED = ", ".join(f"'{n}'" for names in normalise.HEADERS.values() for n in names)
+
+
+@R.query(
+    "nrm16_report",
+    "WITH s AS (SELECT source_id, archivo, categoria, list_transform(string_split(encabezado, CASE WHEN delimitador = '\\t' THEN chr(9) ELSE delimitador END), lambda x: upper(trim(x))) AS h FROM fuentes), "
+    f"k AS (SELECT *, len(h) AS total, len(list_filter(h, lambda x: x IN ({_MAPPED}))) AS mapeadas FROM s), "
+    f"r AS (SELECT source_id, count(*) AS registros, count(*) FILTER (sin_identificador) AS sin, count(*) FILTER (flag_codigo_dane_ambiguo) AS amb FROM {N} GROUP BY 1) "
+    "SELECT k.source_id, archivo, categoria, coalesce(registros, 0) AS registros, total AS columnas_originales, mapeadas AS columnas_mapeadas, coalesce(sin, 0) AS registros_sin_identificador, "
+    "printf('%.1f', CASE WHEN coalesce(registros, 0) = 0 THEN 0.0 ELSE 100.0 * coalesce(sin, 0) / registros END) AS pct_sin_identificador, coalesce(amb, 0) AS registros_dane_ambiguo FROM k LEFT JOIN r USING (source_id)",
+)
+def nrm16_report(spark: SparkSession, d: str) -> DataFrame:
+    return normalise.source_report(table(spark, d, N), table(spark, d, "fuentes")).drop("columnas_sin_mapear", "colisiones")

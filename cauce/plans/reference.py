@@ -276,7 +276,7 @@ def ded13(spark: SparkSession, d: str) -> DataFrame:
     "ded15_conflicts",
     f"WITH j AS (SELECT g.entidad_dedup_id, {', '.join('n.' + c for c in dedup.FIELDS)} FROM {N} n JOIN {G} g USING (row_order)), "
     f"l AS ({' UNION ALL '.join(f"SELECT entidad_dedup_id, '{c}' AS campo, CAST({c} AS VARCHAR) AS v FROM j" for c in dedup.FIELDS)}) "
-    "SELECT entidad_dedup_id, campo, string_agg(DISTINCT v, '|' ORDER BY v) AS valores FROM l WHERE v IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT v) > 1",
+    "SELECT entidad_dedup_id, campo, v AS valor, filas FROM (SELECT *, count(*) OVER (PARTITION BY entidad_dedup_id, campo) AS k FROM (SELECT entidad_dedup_id, campo, v, count(*) AS filas FROM l WHERE v IS NOT NULL GROUP BY 1, 2, 3)) WHERE k > 1",
 )
 def ded15(spark: SparkSession, d: str) -> DataFrame:
     """The conflicts of every canonical field."""
@@ -284,7 +284,7 @@ def ded15(spark: SparkSession, d: str) -> DataFrame:
     members = table(spark, d, G, "row_order", "entidad_dedup_id")
     several = members.groupBy("entidad_dedup_id").agg(F.count("*").alias("n")).filter("n > 1").select("entidad_dedup_id")
     grouped = table(spark, d, N).join(members.join(several, "entidad_dedup_id", "left_semi"), "row_order")
-    return dedup.conflict_values(grouped).select("entidad_dedup_id", "campo", F.array_join("valores", "|").alias("valores"))
+    return dedup.conflict_values(grouped)
 
 
 def _open(spark: SparkSession, d: str) -> DataFrame:
@@ -309,19 +309,21 @@ def ded8_blocks(spark: SparkSession, d: str) -> DataFrame:
     return dedup.name_blocks(_open(spark, d))
 
 
-_STARS = (
-    f"o AS ({_OPEN}), c AS (SELECT razon_social_normalizada, municipio_nombre_normalizado FROM o GROUP BY 1, 2 HAVING count(*) > 1), f AS (SELECT o.row_order, o.municipio_nombre_normalizado AS mun, substr(o.razon_social_normalizada, 1, 4) AS pre, {_sorted_words('o.razon_social_normalizada')} AS t "
-    "FROM o WHERE (o.razon_social_normalizada, o.municipio_nombre_normalizado) NOT IN (SELECT (razon_social_normalizada, municipio_nombre_normalizado) FROM c)), "
-    "k AS (SELECT mun, pre, list(row_order ORDER BY row_order) AS filas FROM f GROUP BY 1, 2 HAVING count(*) BETWEEN 2 AND 300), "
-    "p AS (SELECT x.row_order AS i, y.row_order AS j, x.t AS a, y.t AS b FROM f x JOIN f y ON x.mun = y.mun AND x.pre = y.pre AND x.row_order < y.row_order JOIN k ON k.mun = x.mun AND k.pre = x.pre), "
-    f"r AS ({_ratio('p', 'i, j')}), n AS (SELECT i, list(j) AS cerca FROM r WHERE ratio >= 85 GROUP BY 1), "
-    "w AS (SELECT mun, pre, filas, CAST(NULL AS BIGINT) AS ancla, CAST([] AS BIGINT[]) AS grupo FROM k UNION ALL "
-    "SELECT w.mun, w.pre, list_filter(w.filas[2:], lambda j: NOT list_contains(coalesce(n.cerca, []), j)), w.filas[1], list_filter(w.filas[2:], lambda j: list_contains(coalesce(n.cerca, []), j)) FROM w LEFT JOIN n ON n.i = w.filas[1] WHERE len(w.filas) > 0), "
-    "stars AS (SELECT mun, pre, ancla, list_prepend(ancla, grupo) AS grupo FROM w WHERE len(grupo) > 0)"
-)
+def _stars(source: str) -> str:
+    """SQL: greedy stars of similar names among the open rows of ``source``; one step takes one anchor of every block."""
+    return (
+        f"so AS ({source}), sc AS (SELECT razon_social_normalizada, municipio_nombre_normalizado FROM so GROUP BY 1, 2 HAVING count(*) > 1), sf AS (SELECT so.row_order, so.municipio_nombre_normalizado AS mun, substr(so.razon_social_normalizada, 1, 4) AS pre, {_sorted_words('so.razon_social_normalizada')} AS t "
+        "FROM so WHERE (so.razon_social_normalizada, so.municipio_nombre_normalizado) NOT IN (SELECT (razon_social_normalizada, municipio_nombre_normalizado) FROM sc)), "
+        "sk AS (SELECT mun, pre, list(row_order ORDER BY row_order) AS filas, min(row_order) AS bloque FROM sf GROUP BY 1, 2 HAVING count(*) BETWEEN 2 AND 300), "
+        "sp AS (SELECT x.row_order AS i, y.row_order AS j, x.t AS a, y.t AS b FROM sf x JOIN sf y ON x.mun = y.mun AND x.pre = y.pre AND x.row_order < y.row_order JOIN sk ON sk.mun = x.mun AND sk.pre = x.pre), "
+        f"sr AS ({_ratio('sp', 'i, j')}), sn AS (SELECT i, list(j) AS cerca FROM sr WHERE ratio >= 85 GROUP BY 1), "
+        "sw AS (SELECT mun, pre, bloque, filas, CAST(NULL AS BIGINT) AS ancla, CAST([] AS BIGINT[]) AS grupo FROM sk UNION ALL "
+        "SELECT sw.mun, sw.pre, sw.bloque, list_filter(sw.filas[2:], lambda j: NOT list_contains(coalesce(sn.cerca, []), j)), sw.filas[1], list_filter(sw.filas[2:], lambda j: list_contains(coalesce(sn.cerca, []), j)) FROM sw LEFT JOIN sn ON sn.i = sw.filas[1] WHERE len(sw.filas) > 0), "
+        "stars AS (SELECT mun, pre, bloque, ancla, list_prepend(ancla, grupo) AS grupo FROM sw WHERE len(grupo) > 0)"
+    )
 
 
-@R.query("ded8_fuzzy", f"WITH RECURSIVE {_STARS} SELECT unnest(grupo) AS row_order, 'CAND-FUZZY-' || lpad(CAST(dense_rank() OVER (ORDER BY ancla) AS VARCHAR), 6, '0') AS grupo, ancla, 'fuzzy_razon_social' AS metodo, 'baja' AS confianza FROM stars")
+@R.query("ded8_fuzzy", f"WITH RECURSIVE {_stars(_OPEN)} SELECT unnest(grupo) AS row_order, 'CAND-FUZZY-' || lpad(CAST(dense_rank() OVER (ORDER BY bloque, ancla) AS VARCHAR), 6, '0') AS grupo, ancla, 'fuzzy_razon_social' AS metodo, 'baja' AS confianza FROM stars")
 def ded8(spark: SparkSession, d: str) -> DataFrame:
     open_rows = _open(spark, d)
     grouped = dedup.name_place_candidates(open_rows).select("razon_social_normalizada", "municipio_nombre_normalizado")
@@ -564,12 +566,6 @@ def div12_compared(spark: SparkSession, d: str) -> DataFrame:
 # ---- reports ----
 
 
-@R.query("rep1_top_joined")
-def rep1(spark: SparkSession, d: str) -> DataFrame:
-    top = rank.diversified(table(spark, d, S), 100).select("entidad_dedup_id", "posicion_diversificada")
-    return F.broadcast(top).join(table(spark, d, S, "entidad_dedup_id", "razon_social", "nit", "sector_vertical", "score_prioridad_comercial"), "entidad_dedup_id")
-
-
 @R.query("rep2_repeated_lineage", f"SELECT source_id || '/' || hoja_origen || '/' || CAST(fila_origen AS VARCHAR) AS linaje, count(*) AS veces FROM {N} GROUP BY 1 HAVING count(*) > 1")
 def rep2(spark: SparkSession, d: str) -> DataFrame:
     return reports.repeated_ids(table(spark, d, N).select(F.concat_ws("/", "source_id", "hoja_origen", F.col("fila_origen").cast("string")).alias("linaje")), "linaje")

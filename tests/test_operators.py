@@ -37,8 +37,8 @@ def test_entities_and_masters(spark):
     assert masters["02"].telefono_comercial_1 == "2" and masters["02"].fila_origen == 5 and len(masters) == 8
     flags = {r.row_order for r in dedup.master_flags(grouped.withColumn("completitud", dedup.completeness())).filter("es_registro_maestro").collect()}
     assert flags == {1, 5, 6, 8, 9, 10, 11, 12}
-    conflicts = {(r.entidad_dedup_id[-2:], r.campo): r.valores for r in dedup.conflict_values(grouped).collect()}
-    assert conflicts == {("01", "razon_social"): ["A", "A2"]}
+    conflicts = {(r.entidad_dedup_id[-2:], r.campo, r.valor): r.filas for r in dedup.conflict_values(grouped).collect()}
+    assert conflicts == {("01", "razon_social", "A"): 2, ("01", "razon_social", "A2"): 1}
 
 
 def test_conflicts_of_every_field(spark, tmp_path):
@@ -48,8 +48,8 @@ def test_conflicts_of_every_field(spark, tmp_path):
     spark.createDataFrame(rows, "row_order bigint, " + ", ".join(f"{f} string" for f in dedup.FIELDS)).withColumns({c: F.lit("x") for c in ("source_id", "fuente_archivo", "hoja_origen", "fila_origen", "razon_social_normalizada", "municipio_nombre_normalizado")}).write.parquet(str(tmp_path / "empresas_normalizado.parquet"))
     groups = [(0, "a"), (1, "a"), (2, "b"), (3, "b")]
     spark.createDataFrame(groups, "row_order bigint, entidad_dedup_id string").withColumns({"metodo_deduplicacion": F.lit("nit"), "confianza_deduplicacion": F.lit("alta")}).write.parquet(str(tmp_path / "grupos_deduplicacion.parquet"))
-    got = {(r.entidad_dedup_id, r.campo): r.valores for r in entry.queries()["ded15_conflicts"](spark, str(tmp_path)).collect()}
-    assert got == {("a", f): f"{f}0|{f}1" for f in dedup.FIELDS}
+    got = {(r.entidad_dedup_id, r.campo, r.valor) for r in entry.queries()["ded15_conflicts"](spark, str(tmp_path)).collect()}
+    assert got == {("a", f, f"{f}{i}") for f in dedup.FIELDS for i in (0, 1)}
     assert all(f"'{f}' AS campo" in entry.oracle_sql()["ded15_conflicts"] for f in dedup.FIELDS)
 
 
@@ -173,9 +173,10 @@ def test_ranking_on_a_prefix_is_that_of_all_rows(spark):
             p = b[column].map(b[column].value_counts(normalize=True))
             b["p" + short], b["a" + short + ("_" if short == "s" else "")] = p, (3 * p).clip(low, high)
             b["t" + short] = ((3 * p).clip(low, high) + 0.1).clip(low, hard)
-        everything, _ = rank.select(b, n, True)
+        everything, _, figures = rank.select(b, n, True)
+        assert figures["final"] == len(everything) and figures["reemplazos"] == sum(c[1] == "diversificacion" for c in everything)
         for size in (30, 100, 400):
-            part, exact = rank.select(b.head(size), n, False)
+            part, exact, _ = rank.select(b.head(size), n, False)
             assert not exact or part == everything
         assert rank.select(b.head(1200), n, False)[1]
 

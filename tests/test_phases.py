@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cauce.operators import exclude, scoring
+from cauce.functions import messages
+from cauce.operators import exclude, legal, normalise, rank, register, reports, scoring
 
 ENTITY = "entidad_dedup_id string, nit string, matricula string, razon_social string, municipio_comercial string, fuentes_consolidadas string"
 KEY = "internal_order bigint, fuente_interna string, nit string, matricula string, razon_social string, municipio string, tipo_antecedente string, fecha_referencia string"
@@ -110,3 +111,129 @@ def test_sizes_of_one_source_are_replaced(spark):
     fixes = spark.createDataFrame([("bad", 1, "  Grande "), ("bad", 2, "n/a"), ("ok", 1, "never")], "source_id string, fila_origen bigint, tamano string")
     got = {r.entidad_dedup_id: r.tamano_empresa for r in scoring.corrected_sizes(rows, groups, fixes, "bad").collect()}
     assert got == {"a": "Grande", "b": None, "c": None}
+
+
+# ---- legal registry, messages, register, export ----
+
+RESPONSE = "nit_consultado string, ok boolean, orden int, nit string, digito_verificacion string, razon_social string, representante_legal string, estado_matricula string, matricula string, camara_comercio string, organizacion_juridica string"
+
+
+def answered(spark):
+    rows = [
+        ("900123456", True, 1, "900123456", "8", "UNO S.A.S.", " ", "ACTIVA", "1", "C", "SOCIEDAD"), ("900000001", True, None, *[None] * 8), ("900000002", False, None, *[None] * 8),
+        ("900000003", True, 1, "900000003", "3", "VIEJA", "Ana", "CANCELADA", "2", "C", None), ("900000003", True, 2, "900000003", "3", "NUEVA", "Eva", "ACTIVA", "3", "C", "PERSONA NATURAL"),
+        ("900000004", True, 1, "900000004", "4", "A", None, "ACTIVA", "4", "C", None), ("900000004", True, 2, "900000004", "4", "B", None, "ACTIVA", "5", "C", None), ("900000005", True, 1, "900000005", "5", "OTRA COSA", "Luz", "CANCELADA", "6", "C", None),
+        ("900000006", True, 1, "900000006", "6", "A", None, "ACTIVA", "4", "C", None), ("900000006", True, 2, "900000006", "6", "B", None, "RARA", "5", "C", None), ("900000007", True, 1, "900000007", "1", "SIETE", "Sol", "CANCELADA", "6", "C", None),
+    ]
+    prospects = [
+        ("a", 1, "900.123.456-8", "Uno SAS en liquidación"), ("b", 2, "9000000018", "x"), ("c", 3, "9000000028", "x"), ("d", 4, "9000000033", "Nueva"), ("e", 5, "9000000044", "A"), ("f", 6, "9000000055", "Seis"), ("g", 7, "123", "x"), ("h", 8, None, "x"), ("i", 9, "9000000099", "x"),
+        ("j", 10, "9000000066", "A"), ("k", 11, "9000000077", "Siete"), ("l", 12, "9000000071", "Siete"),
+    ]
+    return spark.createDataFrame(prospects, "entidad_dedup_id string, posicion_diversificada int, nit string, razon_social string").withColumn("ok", F.lit("clash")), spark.createDataFrame(rows, RESPONSE)
+
+
+def test_outcomes_of_the_legal_registry(spark):
+    prospects, responses = answered(spark)
+    out = legal.enriched(prospects, responses)
+    got = {r.entidad_dedup_id: r for r in out.collect()}
+    assert {k: r.resultado_match for k, r in got.items()} == {
+        "a": "MATCH_CONFIRMADO", "b": "NO_MATCH", "c": "ERROR_CONSULTA", "d": "MATCH_RESUELTO_HISTORICO", "e": "ERROR_CONSULTA", "f": "MATCH_CON_OBSERVACION", "g": "NO_CONSULTABLE", "h": "NO_CONSULTABLE", "i": "ERROR_CONSULTA", "j": "ERROR_CONSULTA",
+        "k": "MATCH_CON_OBSERVACION", "l": "MATCH_CONFIRMADO",
+    }
+    assert got["a"].nit == "900.123.456-8" and got["a"].representante_legal == "no informado por la fuente" and got["d"].razon_social_confecamaras == "NUEVA" and got["d"].representante_legal == "no aplica"
+    assert got["f"].representante_legal == "Luz" and got["e"].razon_social_confecamaras is None and got["b"].representante_legal is None and got["g"].nit_consultado is None and out.columns == legal.APPROVED
+    assert {r.resultado_match: r.filas for r in legal.outcome_counts(out).collect()}["ERROR_CONSULTA"] == 4
+    assert legal.enriched(prospects.limit(0), responses).count() == 0 and {r.resultado_match for r in legal.enriched(prospects, responses.limit(0)).collect()} == {"ERROR_CONSULTA", "NO_CONSULTABLE"}
+    assert legal.check_enriched(out, 12).count() == 12
+    for bad, n in ((out.withColumn(legal.FORBIDDEN, F.lit("1")), 12), (out.drop("nit"), 12), (out, 11), (out.withColumn("posicion_diversificada", F.lit(1)), 12), (out.withColumn("posicion_diversificada", F.col("posicion_diversificada") + 1), 12),
+                   (out.withColumn("resultado_match", F.lit("X")), 12), (out.withColumn("entidad_dedup_id", F.lit("a")), 12), (out.withColumn("posicion_diversificada", F.col("posicion_diversificada").cast("string")), 12)):
+        with pytest.raises(legal.EnrichmentError):
+            legal.check_enriched(bad, n)
+
+
+def test_kept_answers_are_not_asked_again(spark):
+    prospects, _ = answered(spark)
+    day = 24 * 3600
+    cache = spark.createDataFrame(
+        [("900123456", "MATCH_CONFIRMADO", 0), ("900000001", "NO_MATCH", 0), ("900000002", "NO_CONSULTABLE", 0), ("900000003", "MATCH_RESUELTO_HISTORICO", 4 * day), ("900000004", "ERROR_CONSULTA", 4 * day), ("900000005", "NO_MATCH", 2 * day)],
+        "nit_consultado string, resultado_match string, guardado_en bigint",
+    )
+    assert {r.nit_consultado[-1] for r in legal.to_ask(prospects, cache, 4 * day).collect()} == {"1", "3", "4", "6", "7", "9"}
+
+
+def test_prospects_from_a_list(spark, tmp_path):
+    spark.createDataFrame([("e", 1, "0900", "U", "x")], "entidad_dedup_id string, posicion_diversificada int, nit string, razon_social string, score string").coalesce(1).write.option("header", True).csv(str(tmp_path / "l"))
+    assert tuple(legal.read_prospects(spark, str(tmp_path / "l")).first()) == ("e", 1, "0900", "U")
+    spark.createDataFrame([("e",)], "entidad_dedup_id string").write.option("header", True).csv(str(tmp_path / "m"))
+    with pytest.raises(ValueError):
+        legal.read_prospects(spark, str(tmp_path / "m"))
+
+
+def test_messages_are_classified(spark):
+    texts = [
+        ("Hola, me interesa", "interes_comercial", "LOW", True), ("Hola", "saludo", "LOW", False), ("Mi código OTP es 123456", "otp_codigo", "CRITICAL", True), ("Mi Contraseña es x", "credenciales", "CRITICAL", True), ("la cédula y la contraseña", "credenciales", "CRITICAL", True),
+        ("es muy caro", "objecion_precio", "MEDIUM", False), ("integrar con SAP", "erp_integracion", "HIGH", True), ("el número de documento de un tercero", "documentos_identidad", "CRITICAL", True), ("", "desconocido", "LOW", False), ("una demo, gracias", "interes_comercial", "LOW", True), (None, None, None, None),
+    ]
+    df = spark.createDataFrame([(i, t[0]) for i, t in enumerate(texts)], "i int, text string").withColumn("intent", F.lit("clash"))
+    got = {r.i: r for r in messages.classified(df).collect()}
+    assert [(got[i].intent, got[i].riesgo, got[i].requiere_aprobacion) for i in range(len(texts))] == [t[1:] for t in texts]
+    assert got[2].confianza == 1.0 and got[0].confianza == 0.95 and got[0].palabra == "me interesa" and got[8].confianza == 0.0 and got[2].entidades.telefonos == []
+
+
+def test_register(spark):
+    rows = spark.createDataFrame([("a", "x", "q"), ("a", "", None), ("b", "y", "z")], "e string, canal string, otro string")
+    assert [r.errores for r in register.vocabulary_errors(rows, {"canal": ["x"], "otro": ["z"], "ausente": ["k"]}).collect()] == [["otro: 'q' no es válido"], [], ["canal: 'y' no es válido"]]
+    old = spark.createDataFrame([("a", "2"), ("a", "10"), ("c", None)], "e string, n string")
+    assert {r.e: r.siguiente for r in register.next_numbers(old, "e", "n").collect()} == {"a": 11, "c": 1}
+    assert sorted((r.e, r.otro, r.n) for r in register.appended(old, rows.filter("otro is not null").unionByName(rows.filter("e = 'a' and otro = 'q'").withColumn("otro", F.lit("r"))), "e", "n", "otro").collect()) == [("a", "q", 11), ("a", "r", 12), ("b", "z", 1)]
+    blank = register.blank_records(rows.select("e").distinct(), ["e"], ["e", "n", "canal"], "e", "n", old).orderBy("e").collect()
+    assert [(r.e, r.n, r.canal) for r in blank] == [("a", 11, ""), ("b", 1, "")]
+
+
+def scored_rows(spark):
+    rows = [(f"e{i:02d}", 100.0 - 0.3 * i, "Comercio / Retail" if i % 3 else "Salud", f"m{i % 5}", "SIN_COINCIDENCIA", "r", "n") for i in range(80)] + [("x", 99.0, None, None, "EXCLUSION_ALTA", None, None)]
+    df = spark.createDataFrame(rows, "entidad_dedup_id string, score_prioridad_comercial double, sector_vertical string, municipio_nombre_normalizado string, estado_exclusion string, razon_social string, nit string")
+    return df.withColumns({c: F.lit(None).cast("string") for c in ("direccion_comercial", "telefono_comercial_1", "telefono_comercial_2", "telefono_comercial_3", "email_comercial", "representante_legal")}).withColumn("sector", F.lit("clash"))
+
+
+def test_export(spark, tmp_path):
+    rows = scored_rows(spark)
+    listed = reports.top_export(rows, 10)
+    assert listed.columns == reports.EXPORTED and reports.check_list(listed, 10).count() == 10
+    first = listed.orderBy("posicion_diversificada").first()
+    assert first.score_prioridad_comercial == 100.0 and first.sector_vertical == "Salud" and first.sector_bucket_diversificacion == "Salud"
+    with pytest.raises(reports.ListError):
+        reports.top_export(rows.unionByName(rows.limit(3)), 10)
+    for bad, n in ((listed, 9), (listed.drop("nit"), 10), (listed.withColumn("nit", F.lit(None).cast("string")), 10), (listed.withColumn("posicion_diversificada", F.col("posicion_diversificada") + 1), 10), (listed.withColumn("entidad_dedup_id", F.lit("e")), 10)):
+        with pytest.raises(reports.ListError):
+            reports.check_list(bad, n)
+    assert reports.other_state(rows).count() == 1
+    text = reports.comparison_report(reports.comparison(rows, (5, 10)))
+    assert "## Top 5" in text and "## Top 10" in text and "| Salud |" in text
+
+
+def test_ranking_rejects_and_counts_states(spark):
+    rows = scored_rows(spark)
+    with pytest.raises(ValueError):
+        rank.checked(rows)
+    assert rank.checked(rows.filter("entidad_dedup_id <> 'x'")).count() == 80 and tuple(rank.universe(rows).first()) == (81, 80, 0, 1)
+    listed, figures = rank.ranked(rows, 10)
+    r = figures.first()
+    assert r.final == 10 == listed.count() and r.ventana == 50 and r.reemplazos == listed.filter("metodo = 'diversificacion'").count()
+    moved = listed.filter("metodo = 'diversificacion'").collect()
+    assert all(m.motivo and m.desplazada and abs(m.score - m.score_desplazada - m.diferencia) < 1e-9 for m in moved)
+    assert rank.ranked(rows.limit(0), 10)[1].count() == 0
+
+
+def test_filters(spark):
+    rows = scored_rows(spark).withColumns({"departamento": F.lit("A"), "ciiu_1": F.lit("g4711"), "tamano_empresa": F.lit("micro")})
+    top = lambda **k: reports.filtered_top(rows, reports.Filters(**k), 100).count()
+    assert top() == 81 and top(en_pipeline=True) == 1 and top(en_pipeline=False) == 80 and top(prioridad="alta") == 81 and top(actividad="G47", departamento="A") == 81 and top(actividad="H") == 0 and top(con_contacto=True) == 0
+
+
+def test_source_report(spark):
+    catalogue = spark.createDataFrame([("s", "f.csv", "camara", "NIT;NOMBRE;EMPRESA;Raro", ";"), ("t", "g", None, None, None), ("i", "h", "interno_x", "NIT", ",")], "source_id string, archivo string, categoria string, encabezado string, delimitador string")
+    rows = spark.createDataFrame([("s", True, False), ("s", False, None), ("s", False, True)], "source_id string, sin_identificador boolean, flag_codigo_dane_ambiguo boolean")
+    got = {r.source_id: r for r in normalise.source_report(rows, catalogue).collect()}
+    assert got["s"].pct_sin_identificador == "33.3" and got["s"].columnas_mapeadas == 3 and got["s"].columnas_sin_mapear == "Raro" and got["s"].colisiones == "razon_social<-NOMBRE,EMPRESA" and got["s"].registros_dane_ambiguo == 1 and len(got["s"]) == 11
+    assert got["t"].registros == 0 and got["t"].pct_sin_identificador == "0.0" and {r.source_id for r in normalise.external(catalogue).collect()} == {"s", "t"}

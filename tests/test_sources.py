@@ -87,4 +87,4 @@ def test_entities_of_every_message(spark, tmp_path):
     assert len(got) == len(rows)
     for key, text, _ in rows:
         for column, (pattern, flags) in patterns.items():
-            assert got[key][column] == (None if text is None else [m[0] for m in re.finditer(pattern, text, flags)])
+            assert got[key][column] == (None if text is None else "|".join(m[0] for m in re.finditer(pattern, text, flags)))
