@@ -1,6 +1,8 @@
 import zipfile
 
-from cauce.sources import files
+import pytest
+
+from cauce.sources import files, sinks
 from cauce.streaming import messages
 
 
@@ -48,7 +50,42 @@ def test_hashes_and_ingest(spark, tmp_path):
     assert [r.fuentes for r in files.same_files(hashes).collect()] == [["a", "b"]]
     assert hashes.filter("not existe").first().source_id == "d"
     done = files.ingest(spark, [{"source_id": n, "formato": "csv", "ruta": str(tmp_path / f"{n}.csv")} for n in "ad"], str(tmp_path / "out"))
-    assert [(r["source_id"], r["estado"], r["filas"]) for r in done] == [("a", "ok", 1), ("d", "error", 0)]
+    assert [(r["source_id"], r["tratamiento"], r["registros_ingeridos"]) for r in done] == [("a", "ingerido", 1), ("d", "error", 0)]
+    assert done[0]["columnas_ingeridas"] == 1 and done[0]["tamano_parquet_bytes"] > 0 and done[0]["tamano_original_bytes"] == 4
+    again = files.ingest(spark, [{"source_id": "a", "formato": "csv", "ruta": str(tmp_path / "a.csv")}], str(tmp_path / "out"))
+    assert again[0]["tratamiento"] == "error" and spark.read.parquet(str(tmp_path / "out" / "a__ingestado.parquet")).count() == 1  # what was there stays
+    catalogue = files.ingest_catalogue(spark, done)
+    assert len(catalogue.columns) == 17 and files.ingest_summary(catalogue).first()[:4] == (1, 0, 0, 1)
+    assert len(files.ingest(spark, [{"source_id": "b", "formato": "csv", "ruta": "x"}, {"source_id": "c", "formato": "csv", "ruta": "y"}], str(tmp_path / "o2"), limit=1)) == 1
+    listed = spark.createDataFrame([("a", "a.csv", "csv"), ("d", "d.csv", "csv")], "source_id string, archivo string, formato string")
+    paths = {n: "file://" + str(tmp_path / f"{n}.csv") for n in "ad"}
+    got = {r.source_id: r for r in files.registered(spark, listed, paths).collect()}
+    assert got["a"].existe and got["a"].tamano_bytes == 4 and got["a"].hash_sha256 == files.hash_of(str(tmp_path / "a.csv")) and not got["d"].existe and got["d"].hash_sha256 is None
+    assert files.verified(spark, paths, "a")["existe"]
+    with pytest.raises(KeyError):
+        files.verified(spark, paths, "zz")
+
+
+def test_empty_rows_are_counted(spark, tmp_path):
+    path = tmp_path / "e.csv"
+    path.write_text('a,b\n1,\n,\n"",""\n2,x\n')
+    done = files.ingest(spark, [{"source_id": "e", "formato": "csv", "ruta": str(path)}], str(tmp_path / "out"))
+    assert done[0]["registros_ingeridos"] == 2 and done[0]["filas_vacias_descartadas"] == 2
+
+
+def test_spreadsheet_values():
+    assert [files.text_of(v) for v in (None, True, 3.0, 1.5, 1e-7, float("nan"), float("inf"), "x", 2)] == [None, "True", "3", "1.5", "0", None, "inf", "x", "2"]
+
+
+def test_raw_area_by_path_and_uri(tmp_path):
+    raw = str(tmp_path / "raw")
+    for inside in (raw, raw + "/x", "file://" + raw + "/x", "file:" + raw + "/x", raw + "/../raw/y"):
+        with pytest.raises(PermissionError):
+            sinks.outside(inside, raw)
+    for target, area in ((raw + "2", raw), ("s3a://b/raw/x", raw), ("s3a://b/out", "s3a://b/raw")):
+        assert sinks.outside(target, area) == target
+    with pytest.raises(PermissionError):
+        sinks.outside("s3a://b/out/../raw/x", "s3a://b/raw")
 
 
 def test_triage(spark):
