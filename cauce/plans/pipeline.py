@@ -9,7 +9,7 @@ from cauce.functions import registry as reg
 from cauce.functions import messages as msg
 from cauce.operators import dedup, exclude, legal, normalise, rank, register, reports, scoring
 from cauce.operators.numbering import numbered
-from cauce.plans.reference import _INT, _KEYS, _L1, _L2, E, G, I, N, S, X, _cmp, _dig, _ok, _ratio, _sorted_words, _stars
+from cauce.plans.reference import _INT, _KEYS, _L1, _L2, _READY, E, G, I, N, S, X, _cmp, _dig, _ok, _ratio, _sorted_words, _stars
 from cauce.plans.registry import Registry
 from cauce.sources.tables import table
 
@@ -197,32 +197,114 @@ def ded16_run(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- ranking and export ----
 
+# The sequential selection as a recursion: one step takes the next row in order; counts are of the rows chosen so far.
+TOP = 100
+_SHARES = "list(p ORDER BY k) AS p, list(least(greatest(3 * p, {0}), {1}) ORDER BY k) AS a, list(least(greatest(least(greatest(3 * p, {0}), {1}) + 0.1, {0}), {2}) ORDER BY k) AS h"
+
+
+def _share(of: str) -> str:
+    """SQL: the smoothed shares of sector and place once row ``of`` is admitted."""
+    return f"(len(list_filter(used, lambda q: s[q] = s[{of}])) + 1 + 22 * es.p[s[{of}]]) / (len(used) + 1 + 22), (len(list_filter(used, lambda q: l[q] = l[{of}])) + 1 + 22 * ep.p[l[{of}]]) / (len(used) + 1 + 22)"
+
+
+def _pair(of: str) -> list[str]:
+    return [x + ("" if k else " / (len(used) + 1 + 22)") for k, x in enumerate(_share(of).split(" / (len(used) + 1 + 22), "))]
+
+
+_PS, _PL = _pair("i")
+_JS, _JL = _pair("j")
+_SELECTED = f"""
+WITH RECURSIVE {_READY},
+tot AS (SELECT count(*) AS t FROM u),
+ls AS (SELECT sector AS c, row_number() OVER (ORDER BY sector) AS k, count(*) / (SELECT t FROM tot) AS p FROM u GROUP BY 1),
+lp AS (SELECT lugar AS c, row_number() OVER (ORDER BY lugar) AS k, count(*) / (SELECT t FROM tot) AS p FROM u GROUP BY 1),
+o AS (SELECT u.*, row_number() OVER (ORDER BY score DESC, clave, id) AS rn, ls.k AS ks, lp.k AS kp FROM u JOIN ls ON u.sector = ls.c JOIN lp ON u.lugar = lp.c),
+d AS (SELECT list(score ORDER BY rn) AS sc, list(ks ORDER BY rn) AS s, list(kp ORDER BY rn) AS l, count(*) AS n FROM o),
+es AS (SELECT {_SHARES.format(0.25, 0.5, 0.55)} FROM ls), ep AS (SELECT {_SHARES.format(0.15, 0.35, 0.45)} FROM lp),
+w AS (
+  SELECT CAST(1 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS used, CAST([] AS STRUCT(i BIGINT, how VARCHAR, instead BIGINT, why VARCHAR)[]) AS chosen, CAST([] AS BIGINT[]) AS later, 0 AS ev, 0 AS rep, 0 AS prot, 0 AS dif
+  UNION ALL
+  SELECT i + 1, CASE WHEN was OR (act AND hard) THEN used ELSE list_append(used, CASE WHEN act THEN coalesce(j, i) ELSE i END) END,
+         CASE WHEN was OR (act AND hard) THEN chosen ELSE list_append(chosen, CASE WHEN NOT act THEN {{'i': i, 'how': 'tolerancia', 'instead': CAST(NULL AS BIGINT), 'why': CAST(NULL AS VARCHAR)}} WHEN j IS NOT NULL THEN {{'i': j, 'how': 'diversificacion', 'instead': i, 'why': why}} ELSE {{'i': i, 'how': 'proteccion_calidad', 'instead': CAST(NULL AS BIGINT), 'why': why}} END) END,
+         CASE WHEN NOT was AND act AND (hard OR j IS NOT NULL) THEN list_append(later, i) ELSE later END,
+         ev + CAST(NOT was AS INTEGER), rep + CAST(NOT was AND act AND NOT hard AND j IS NOT NULL AS INTEGER), prot + CAST(NOT was AND act AND NOT hard AND j IS NULL AS INTEGER), dif + CAST(NOT was AND act AND hard AS INTEGER)
+  FROM (
+    SELECT y.*, CASE WHEN NOT was AND act AND NOT hard THEN list_filter(list_filter(range(i + 1, n + 1), lambda j: NOT list_contains(used, j))[1:50], lambda j: sc[j] >= 60 AND sc[j] >= 0.85 * sc[i] AND {_JS} <= es_a[s[j]] AND {_JL} <= ep_a[l[j]])[1] END AS j
+    FROM (
+      SELECT w.*, d.*, es, ep, es.a AS es_a, ep.a AS ep_a, list_contains(used, i) AS was, {_PS} > es.a[s[i]] OR {_PL} > ep.a[l[i]] AS act, {_PS} > es.h[s[i]] OR {_PL} > ep.h[l[i]] AS hard,
+             concat_ws('; ', CASE WHEN {_PS} > es.a[s[i]] THEN printf('sector=''%s'' superaría %.1f%% (umbral de activación %.1f%%)', (SELECT c FROM ls WHERE ls.k = s[i]), 100 * ({_PS}), 100 * es.a[s[i]]) END,
+                             CASE WHEN {_PL} > ep.a[l[i]] THEN printf('municipio=''%s'' superaría %.1f%% (umbral de activación %.1f%%)', (SELECT c FROM lp WHERE lp.k = l[i]), 100 * ({_PL}), 100 * ep.a[l[i]]) END) AS why
+      FROM w, d, es, ep WHERE len(used) < {TOP} AND i <= n) y)),
+v AS (
+  SELECT CAST(1 AS BIGINT) AS k, used, chosen, later, ev, rep, prot, dif, 0 AS rec FROM (SELECT * FROM w ORDER BY i DESC LIMIT 1)
+  UNION ALL
+  SELECT k + 1, CASE WHEN ok THEN list_append(used, i) ELSE used END, CASE WHEN ok THEN list_append(chosen, {{'i': i, 'how': 'cierre_fase2', 'instead': CAST(NULL AS BIGINT), 'why': '{rank.LATE_REASON}'}}) ELSE chosen END, later, ev, rep, prot, dif, rec + CAST(ok AS INTEGER)
+  FROM (SELECT z.*, NOT list_contains(used, i) AND {_PS} <= es.h[s[i]] AND {_PL} <= ep.h[l[i]] AS ok FROM (SELECT v.*, later[k] AS i FROM v WHERE k <= len(later) AND len(used) < {TOP}) z, d, es, ep)),
+fin AS (SELECT * FROM v ORDER BY k DESC LIMIT 1),
+c AS (SELECT unnest(chosen) AS x FROM fin),
+list_ AS (
+  SELECT a.id AS entidad_dedup_id, row_number() OVER (ORDER BY a.score DESC, a.clave) AS posicion_diversificada, a.rn AS posicion_pura, a.score, a.sector, a.lugar, x.how AS metodo, x.why AS motivo, b.id AS desplazada, b.score AS score_desplazada, a.score - b.score AS diferencia
+  FROM c JOIN o a ON a.rn = x.i LEFT JOIN o b ON b.rn = x.instead)
+"""
+
+
+@R.query("div8_diversified_top", _SELECTED + "SELECT * REPLACE (round(score, 9) AS score, round(diferencia, 9) AS diferencia) FROM list_")
+def div8(spark: SparkSession, d: str) -> DataFrame:
+    return rank.diversified(table(spark, d, S), TOP).withColumns({c: F.round(c, 9) for c in ("score", "diferencia")})
+
 
-@R.query("div9_figures")
+@R.query("div9_figures", _SELECTED + f"SELECT 50 AS ventana, ev AS evaluados_fase1, rep AS reemplazos, prot AS proteccion_calidad, dif AS diferidos_tope_duro, rec AS recuperados_fase2, len(chosen) AS final, len(later) AS diferidos, len(later) - rec AS diferidos_nunca_recuperados FROM fin")
 def div9(spark: SparkSession, d: str) -> DataFrame:
     """The figures of a run of the sequential selection."""
-    return rank.ranked(table(spark, d, S), 100)[1]
+    return rank.ranked(table(spark, d, S), TOP)[1]
+
+
+_PURE = f"pure AS (SELECT score, sector, lugar FROM u ORDER BY score DESC, id LIMIT {TOP})"
 
 
 @R.query(
-    "div10_universe",
-    f"SELECT count(*) AS total, count(*) FILTER (estado_exclusion = 'SIN_COINCIDENCIA') AS elegibles, count(*) FILTER (estado_exclusion = 'CANDIDATO_AMBIGUO') AS ambiguos, count(*) FILTER (NOT coalesce(estado_exclusion IN ('SIN_COINCIDENCIA', 'CANDIDATO_AMBIGUO'), false)) AS excluidos FROM {S}",
-)
-def div10(spark: SparkSession, d: str) -> DataFrame:
-    return rank.universe(table(spark, d, S))
+    "div12_compared",
+    _SELECTED + f", {_PURE} " + " UNION ALL ".join(
+        f"SELECT '{c}' AS dimension, coalesce(a.{c}, b.{c}) AS categoria, coalesce(a.n, 0) AS pura, coalesce(b.n, 0) AS diversificada FROM (SELECT {c}, count(*) AS n FROM pure GROUP BY 1) a FULL JOIN (SELECT {c}, count(*) AS n FROM list_ GROUP BY 1) b USING ({c})" for c in ("sector", "lugar")
+    ),
+)
+def div12_compared(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, S)
+    pure, listed = rank.pure_top(rows, TOP), rank.diversified(rows, TOP)
+    both = [rank.compared(pure, listed, c).select(F.lit(c).alias("dimension"), F.col(c).alias("categoria"), "pura", "diversificada") for c in ("sector", "lugar")]
+    return both[0].unionByName(both[1])
 
 
-@R.query("div12_score_loss")
+@R.query(
+    "div12_score_loss",
+    _SELECTED + f", {_PURE}, m AS (SELECT (SELECT avg(score) FROM pure) AS a, (SELECT avg(score) FROM list_) AS b) SELECT round(a, 9) AS media_pura, round(b, 9) AS media_diversificada, round(a - b, 9) AS perdida, round(100 * (a - b) / a, 9) AS perdida_pct FROM m",
+)
 def div12_loss(spark: SparkSession, d: str) -> DataFrame:
     """Mean scores of the pure and the diversified list."""
     rows = table(spark, d, S)
-    return rank.score_loss(rank.pure_top(rows, 100), rank.diversified(rows, 100))
+    out = rank.score_loss(rank.pure_top(rows, TOP), rank.diversified(rows, TOP))
+    return out.select(*[F.round(c, 9).alias(c) for c in out.columns])
+
 
+_JOINED = ["razon_social", "nit", "direccion_comercial", "telefono_comercial_1", "telefono_comercial_2", "telefono_comercial_3", "email_comercial", "representante_legal", "sector_vertical"]
 
-@R.query("rep1_export")
+
+@R.query(
+    "rep1_export",
+    _SELECTED + "SELECT entidad_dedup_id, posicion_diversificada, posicion_pura AS posicion_ranking_puro, sector AS sector_bucket_diversificacion, lugar AS municipio_nombre_normalizado, metodo AS metodo_seleccion, motivo AS motivo_diversificacion, "
+    f"desplazada AS candidato_desplazado_id, score_desplazada AS score_candidato_desplazado, round(diferencia, 9) AS diferencia_score, {', '.join('x.' + c for c in _JOINED)}, x.score_prioridad_comercial FROM list_ JOIN {S} x USING (entidad_dedup_id)",
+)
 def rep1(spark: SparkSession, d: str) -> DataFrame:
     """The exported list with its 20 columns, checked."""
-    return reports.check_list(reports.top_export(table(spark, d, S), 100), 100)
+    return reports.check_list(reports.top_export(table(spark, d, S), TOP), TOP).withColumn("diferencia_score", F.round("diferencia_score", 9))
+
+
+@R.query(
+    "div10_universe",
+    f"SELECT count(*) AS total, count(*) FILTER (estado_exclusion = 'SIN_COINCIDENCIA') AS elegibles, count(*) FILTER (estado_exclusion = 'CANDIDATO_AMBIGUO') AS ambiguos, count(*) FILTER (NOT coalesce(estado_exclusion IN ('SIN_COINCIDENCIA', 'CANDIDATO_AMBIGUO'), false)) AS excluidos FROM {S}",
+)
+def div10(spark: SparkSession, d: str) -> DataFrame:
+    return rank.universe(table(spark, d, S))
 
 
 @R.query("rep4_other_state", f"SELECT entidad_dedup_id, estado_exclusion FROM {S} WHERE estado_exclusion IS DISTINCT FROM 'SIN_COINCIDENCIA'")

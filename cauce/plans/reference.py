@@ -15,7 +15,6 @@ from cauce.functions.dates import typed_day
 from cauce.functions.similarity import token_sort_ratio
 from cauce.operators import dedup, enrich, exclude, normalise, rank, reports
 from cauce.plans.registry import Registry
-from cauce.session import cut
 from cauce.sources import files
 from cauce.sources.tables import table
 from cauce.streaming.messages import once, with_entities
@@ -542,11 +541,6 @@ def div6(spark: SparkSession, d: str) -> DataFrame:
     return shares.select(F.col("categoria").alias("sector"), F.round(reg.smoothed_share(F.lit(10), F.lit(25), F.col("p")), 9).alias("cuota"))
 
 
-@R.query("div8_diversified_top")
-def div8(spark: SparkSession, d: str) -> DataFrame:
-    return rank.diversified(table(spark, d, S), 100)
-
-
 @R.query("div11_pure_top", f"WITH {_READY} SELECT id AS entidad_dedup_id, score, sector, lugar FROM u ORDER BY score DESC, id LIMIT 100")
 def div11(spark: SparkSession, d: str) -> DataFrame:
     return rank.pure_top(table(spark, d, S), 100)
@@ -557,12 +551,6 @@ def div12(spark: SparkSession, d: str) -> DataFrame:
     return rank.list_metrics(rank.pure_top(table(spark, d, S), 100)).withColumn("media", F.round("media", 6))
 
 
-@R.query("div12_compared")
-def div12_compared(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, S)
-    return rank.compared(rank.pure_top(rows, 100), cut(rank.diversified(rows, 100)), "sector")
-
-
 # ---- reports ----
 
 
