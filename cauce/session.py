@@ -56,7 +56,8 @@ def work_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_cauce_work", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = spark._cauce_work = _own_folder()
     return folder.rstrip("/")
