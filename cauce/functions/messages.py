@@ -56,9 +56,8 @@ def _at(values: list, place: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), place.cast("int") - 1)
 
 
-def safety(text: Column) -> Column:
-    """MSG-1: the number of the first rule of safety that a text breaks, from 1; 0 for none."""
-    low = F.lower(text)
+def safety(low: Column) -> Column:
+    """MSG-1: the number of the first rule of safety that a lower-case text breaks, from 1; 0 for none."""
     rule = F.coalesce(_at([k for k, (_, _, words) in enumerate(SAFETY, 1) for _ in words], _first(low, [w for _, _, words in SAFETY for w in words])), F.lit(0))
     both = reduce(lambda a, b: a & b, [F.contains(low, F.lit(w)) for w in THIRD_PARTY[2]])
     return F.when(rule > 0, rule).when(both, len(SAFETY) + 1).otherwise(0)
@@ -69,9 +68,9 @@ _BY_CONFIDENCE = sorted(INTENTS.items(), key=lambda x: -x[1][0])
 _WORDS = [(w, name, confidence) for name, (confidence, words) in _BY_CONFIDENCE for w in words]
 
 
-def intent(text: Column) -> Column:
-    """MSG-2: the place among all keywords, surest intents first, of the first one that occurs; 0 for none."""
-    return _first(F.lower(F.trim(text)), [w for w, _, _ in _WORDS])
+def intent(low: Column) -> Column:
+    """MSG-2: the place among all keywords, surest intents first, of the first one that occurs in a lower-case text; 0 for none."""
+    return _first(low, [w for w, _, _ in _WORDS])
 
 
 def risk(name: Column) -> Column:
@@ -89,7 +88,8 @@ def classified(messages: DataFrame) -> DataFrame:
     Rules of safety go before intents, the surest intent before others, the earlier of equals.
     """
     known = F.col("text").isNotNull()
-    read = messages.withColumns({"_rule": safety(F.col("text")), "_word": intent(F.col("text"))})
+    # made lower case once, not once for every keyword
+    read = messages.withColumn("_low", F.lower("text")).withColumns({"_rule": safety(F.col("_low")), "_word": intent(F.col("_low"))}).drop("_low")
     danger = F.col("_rule") > 0
     wished = read.withColumn("_wish", F.coalesce(_at([name for _, name, _ in _WORDS], F.col("_word")), F.lit(UNKNOWN)))
     usual = risk(F.col("_wish"))
