@@ -6,7 +6,8 @@ direction prevails beyond chance, and what can be reached by edges is later. A g
 ordered: by day where both have one, by the learned precedence where one has none. The topologically latest value
 survives; values that the order does not part, and fields without precedence, are decided by the latest, most
 trusted, most complete row that has one. All of it is aggregation of one number per field, so a group of any size
-is combined before it is shuffled; the values themselves are read at the end, of the rows chosen only.
+is combined before it is shuffled; the values themselves are read at the end, of the rows chosen only. Values are
+compared by hashes that are checked to be different for all of them, so a field may have any number of values.
 
 A record that no other of its group beats in completeness, day or trust is the group's guide.
 
@@ -17,8 +18,10 @@ without an entity belong to no group, and a row counts in every group it is in;
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cauce.functions.dates import typed_day
@@ -36,8 +39,6 @@ ZEROED = ["fecha_matricula", "fecha_renovacion", "fecha_constitucion", "municipi
 
 #: Fields whose few values change with time; their precedence is learned.
 EVOLVING = ["tamano_empresa", "estado_matricula", "tipo_organizacion", "grupo_niif", "categoria_matricula", "bic", "ultimo_ano_renovado"]
-#: Values of one evolving field that take part in the precedence, the most frequent first (one bit each).
-MOST_VALUES = 64
 #: Changes between two values, in either direction, from which their order can be learned.
 LEAST_MOVES = 8
 
@@ -113,7 +114,7 @@ def _row_of(rank: Column) -> Column:
 
 
 class Precedence:
-    """Which values of an evolving field come after which, by way of others too."""
+    """Which values of an evolving field come after which, by way of others too; of changes that are given."""
 
     def __init__(self, values: dict[str, list[str]]) -> None:
         self.values = values
@@ -137,11 +138,50 @@ class Precedence:
         edge = np.zeros_like(self.after[field])
         for a, b in moves:
             there, back = moves[a, b], moves.get((b, a), (0, 0, 0))
-            margin = there[1] - back[1]
-            edge[a, b] = there[0] + back[0] >= LEAST_MOVES and margin > 0 and margin**2 > 4 * (there[2] + back[2])
+            edge[a, b] = _prevails(there[0] + back[0], there[1] - back[1], there[2] + back[2])
         edge &= ~_closed(edge).T
         self.after[field] = _closed(edge)
 
+    def named(self, spark: SparkSession) -> DataFrame:
+        """``f, value, later``: all pairs."""
+        return spark.createDataFrame([(FIELDS.index(f), v, w) for f in self.fields for v in self.values[f] for w in self.later(f, v)], "f int, value string, later string")
+
+    def coded(self, noted: DataFrame) -> tuple[DataFrame, int]:
+        """``f, a, b``, where b comes after a, and the salt of their codes, which are those of the rows' values too."""
+        named = cut(self.named(noted.sparkSession))
+        salt = _salt(cut(_words(noted).union(named.select("f", "value")).union(named.select("f", "later")).distinct()))
+        return cut(named.select("f", _code(F.col("value"), salt).alias("a"), _code(F.col("later"), salt).alias("b"))), salt
+
+
+class LearnedPrecedence(Precedence):
+    """The precedence in the rows; its pairs are a table, whose size nothing bounds."""
+
+    def __init__(self, noted: DataFrame, words: DataFrame, salt: int, pairs: DataFrame) -> None:
+        super().__init__({})
+        self.noted, self.words, self.salt, self.pairs = noted, words, salt, pairs
+        found = {r.f for r in pairs.select("f").distinct().collect()}
+        self.with_pairs = [f for f in EVOLVING if FIELDS.index(f) in found]
+
+    @property
+    def fields(self) -> list[str]:
+        return self.with_pairs
+
+    def later(self, field: str, value: str) -> set[str]:
+        return {r.later for r in self.named(self.pairs.sparkSession).filter((F.col("f") == FIELDS.index(field)) & (F.col("value") == value)).collect()}
+
+    def named(self, spark: SparkSession) -> DataFrame:
+        words = self.words.select("f", "value", _code(F.col("value"), self.salt).alias("code"))
+        old, new = words.withColumnRenamed("code", "a"), words.select("f", F.col("value").alias("later"), F.col("code").alias("b"))
+        return self.pairs.join(old, ["f", "a"]).join(new, ["f", "b"]).select("f", "value", "later")
+
+    def coded(self, noted: DataFrame) -> tuple[DataFrame, int]:
+        return (self.pairs, self.salt) if noted is self.noted else super().coded(noted)
+
+
+def _prevails(changes, margin, squares):
+    """Whether changes between two values have a direction, of numbers or columns."""
+    return (changes >= LEAST_MOVES) & (margin > 0) & (margin * margin > 4 * squares)
+
 
 def _closed(edge: np.ndarray) -> np.ndarray:
     reach = edge.copy()
@@ -150,12 +190,37 @@ def _closed(edge: np.ndarray) -> np.ndarray:
     return reach
 
 
-def _codes(values: dict[str, list[str]], fields: list[str]) -> Column:
-    """``f, code`` of every one of the fields with information; values without a code have -1."""
+def _reached(edge: DataFrame) -> DataFrame:
+    """``f, a, b``: what can be reached by edges; every round doubles the length of the ways."""
+    reach, size = edge, edge.count()
+    while True:
+        further = reach.select("f", "a", F.col("b").alias("via")).join(reach.select("f", F.col("a").alias("via"), "b"), ["f", "via"]).select("f", "a", "b")
+        more = cut(reach.unionByName(further).distinct())
+        if (grown := more.count()) == size:
+            return reach
+        reach, size = more, grown
+
+
+def _words(noted: DataFrame) -> DataFrame:
+    """``f, value``: every value of the evolving fields."""
+    each = F.explode(F.array(*[F.struct(F.lit(FIELDS.index(f)).alias("f"), F.col(f).alias("value")) for f in EVOLVING])).alias("p")
+    return noted.select(each).select("p.*").filter("value is not null").distinct()
+
+
+def _code(value: Column, salt: int) -> Column:
+    return F.xxhash64(value, F.lit(salt))
+
+
+def _salt(words: DataFrame) -> int:
+    """The first salt with which the values of every field have codes of their own."""
+    return next(salt for salt in count() if words.groupBy("f", _code(F.col("value"), salt).alias("code")).count().filter("count > 1").isEmpty())
+
+
+def _codes(fields: list[str], salt: int) -> Column:
+    """``f, code`` of every one of the fields with information; null is the code where no value was read from it."""
 
     def one(f: str) -> Column:
-        code = F.array_position(F.array(*[F.lit(v) for v in values[f]]), F.col(f)).cast("int") - 1
-        return F.when(_has(f), F.struct(F.lit(FIELDS.index(f)).alias("f"), F.coalesce(code, F.lit(-1)).alias("code")))
+        return F.when(_has(f), F.struct(F.lit(FIELDS.index(f)).alias("f"), F.when(F.col(f).isNotNull(), _code(F.col(f), salt)).alias("code")))
 
     return F.array_compact(F.array(*[one(f) for f in fields]))
 
@@ -164,69 +229,53 @@ def _has(field: str) -> Column:
     return F.col("_mask").bitwiseAND(F.lit(1 << FIELDS.index(field))) != 0
 
 
-def learned_precedence(noted: DataFrame) -> Precedence:
+def learned_precedence(noted: DataFrame) -> LearnedPrecedence:
     """The precedence of the evolving fields, from the rows with a day.
 
     A day of a group counts once, so even the largest group has no more rows here than the calendar has days. A
-    change weighs as much as the sources of both rows are trusted. The values and counts that reach the driver are
-    bounded by ``MOST_VALUES`` (squared) for each field.
+    change weighs as much as the sources of both rows are trusted. Every value takes part, however rare; changes,
+    edges and what they reach stay tables.
     """
-    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in EVOLVING])).alias("p")
-    counts = noted.select(each).select("p.*").filter("value is not null").groupBy("field", "value").agg(F.count("*").alias("n"))
-    frequent = Window.partitionBy("field").orderBy(F.desc("n"), "value")
-    kept = counts.withColumn("_r", F.row_number().over(frequent)).filter(F.col("_r") <= MOST_VALUES).collect()
-    out = Precedence({f: sorted(r.value for r in kept if r.field == f) for f in EVOLVING if any(r.field == f for r in kept)})
-    if not out.values:
-        return out
-    timed = noted.filter("_day is not null").select("entidad_dedup_id", "_day", _rank_in_day().alias("_by"), F.explode(_codes(out.values, list(out.values))).alias("p")).filter("p.code >= 0")
-    # the rank carries the code, so that the best row of a day is a maximum of numbers
-    best = F.max(F.shiftleft("_by", 6).bitwiseOR(F.col("p.code").cast("bigint"))).alias("_by")
-    days = timed.groupBy("entidad_dedup_id", F.col("p.f").alias("f"), "_day").agg(best)
-    days = days.select("entidad_dedup_id", "f", "_day", F.col("_by").bitwiseAND(F.lit(63)).cast("int").alias("code"), (F.shiftright("_by", 51) + 1).alias("trust"))
+    words = cut(_words(noted))
+    salt = _salt(words)
+    timed = noted.filter("_day is not null").select("entidad_dedup_id", "_day", _rank_in_day().alias("_by"), F.explode(_codes(EVOLVING, salt)).alias("p")).filter("p.code is not null")
+    days = timed.groupBy("entidad_dedup_id", F.col("p.f").alias("f"), "_day").agg(F.max("_by").alias("_by"), F.max_by("p.code", "_by").alias("code"))
+    days = days.select("entidad_dedup_id", "f", "_day", "code", (F.shiftright("_by", 45) + 1).alias("trust"))
     order = Window.partitionBy("entidad_dedup_id", "f").orderBy("_day")
     moves = days.select("f", F.lag("code").over(order).alias("old"), F.col("code").alias("new"), (F.col("trust") * F.lag("trust").over(order)).alias("w")).filter("old <> new")
-    found: dict[str, dict[tuple[int, int], tuple[int, int, int]]] = {}
-    for r in moves.groupBy("f", "old", "new").agg(F.count("*").alias("n"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("w")).alias("ww")).collect():
-        found.setdefault(FIELDS[r.f], {})[r.old, r.new] = (r.n, r.w, r.ww)
-    for f, m in found.items():
-        out.learn(f, m)
-    return out
-
-
-def _bit(x: Column) -> Column:
-    return F.when(x["code"] >= 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), x["code"])).otherwise(F.lit(0).cast("bigint"))
-
-
-def _bits(held: Column) -> Column:
-    return F.aggregate(held, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(_bit(x)))
-
-
-def _ordered(noted: DataFrame, precedence: Precedence) -> DataFrame:
+    # the changes of two values in both directions are one row
+    pair = moves.groupBy("f", F.least("old", "new").alias("a"), F.greatest("old", "new").alias("b"))
+    pair = pair.agg(F.count("*").alias("n"), F.sum(F.when(F.col("old") < F.col("new"), F.col("w")).otherwise(-F.col("w"))).alias("up"), F.sum(F.col("w") * F.col("w")).alias("ww"))
+    up = F.col("up") > 0
+    edge = pair.filter(_prevails(F.col("n"), F.abs("up").cast("decimal(19,0)"), F.col("ww"))).select("f", F.when(up, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("b"))
+    edge = cut(edge)
+    after = _reached(edge)
+    if not after.filter("a = b").isEmpty():
+        back = after.select("f", F.col("a").alias("b"), F.col("b").alias("a"))
+        after = _reached(cut(edge.join(back, ["f", "a", "b"], "left_anti")))
+    return LearnedPrecedence(noted, words, salt, after)
+
+
+def _ordered(noted: DataFrame, fields: list[str], pairs: DataFrame, salt: int) -> DataFrame:
     """``entidad_dedup_id, f, rank``: for every field with a precedence the rank of the row whose value survives.
 
     The latest value with a day stands unless values without any day come after it. Of those (of all values, where
     none has a day) the ones remain that no other of them comes after, and the best row among theirs is taken. A
-    group has at most two entries for each value with a code here, whatever its size.
+    group has one row for each of its values here, whatever its size.
     """
-    fields = precedence.fields
-    long = noted.select("entidad_dedup_id", F.col("_day").isNotNull().alias("timed"), F.col("_rank").alias("rank"), F.explode(_codes(precedence.values, fields)).alias("p"))
-    best = long.groupBy("entidad_dedup_id", F.col("p.f").alias("f"), F.col("p.code").alias("code"), "timed").agg(F.max("rank").alias("rank"))
-    held = best.groupBy("entidad_dedup_id", "f").agg(F.collect_list(F.struct("rank", "code", "timed")).alias("held"))
-    # signed: the last of 64 bits is the sign
-    mask = lambda row: int(np.array([int("0" + "".join("1" if x else "0" for x in reversed(row.tolist())), 2)], dtype=np.uint64).astype(np.int64)[0])
-    after = F.lit(None).cast("array<bigint>")
-    for f in fields:
-        after = F.when(F.col("f") == FIELDS.index(f), F.array(*[F.lit(mask(r)).cast("bigint") for r in precedence.after[f]])).otherwise(after)
-    later = lambda code: F.coalesce(F.get("after", code), F.lit(0).cast("bigint"))
-    step = held.select("entidad_dedup_id", "f", "held", after.alias("after"), F.filter("held", lambda x: x["timed"]).alias("dated"))
-    step = step.select("entidad_dedup_id", "f", "held", "after", F.array_max("dated").alias("top"), _bits(F.col("dated")).alias("known"))
-    undated = F.filter("held", lambda x: ~x["timed"] & (_bit(x).bitwiseAND(F.col("known")) == 0))
-    step = step.select("entidad_dedup_id", "f", "after", "top", undated.alias("undated"))
-    open_ = F.when(F.col("top").isNull(), F.col("undated")).otherwise(F.filter("undated", lambda x: _bit(x).bitwiseAND(later(F.col("top.code"))) != 0))
-    step = step.select("entidad_dedup_id", "f", "after", "top", open_.alias("open"))
-    step = step.select("entidad_dedup_id", "f", "after", "top", "open", _bits(F.col("open")).alias("present"))
-    last = F.array_max(F.filter("open", lambda x: later(x["code"]).bitwiseAND(F.col("present")) == 0))
-    return step.select("entidad_dedup_id", "f", F.coalesce(last["rank"], F.col("top.rank")).alias("rank"))
+    timed, group = F.col("_day").isNotNull(), ["entidad_dedup_id", "f"]
+    long = noted.select("entidad_dedup_id", F.when(timed, F.col("_rank")).alias("dated"), F.when(~timed, F.col("_rank")).alias("undated"), F.explode(_codes(fields, salt)).alias("p"))
+    best = cut(long.groupBy("entidad_dedup_id", F.col("p.f").alias("f"), F.col("p.code").alias("code")).agg(F.max("dated").alias("dated"), F.max("undated").alias("undated")))
+    top = best.groupBy(*group).agg(F.max("dated").alias("top"), F.max_by("code", "dated").alias("a"), F.count(F.when(F.col("dated").isNull(), 1)).alias("open"))
+    follows = pairs.select("f", "a", F.col("b").alias("code"), F.lit(True).alias("follows"))
+    open_ = best.filter("dated is null").join(top, group).join(follows, ["f", "a", "code"], "left").filter("top is null or follows")
+    # every value beside those that it comes after, which it beats where the group has them
+    beats = pairs.select("f", F.col("b").alias("code"), F.col("a").alias("met")).unionByName(pairs.select("f", F.col("b").alias("code"), F.col("b").alias("met")).distinct())
+    met = open_.alias("o").join(beats.alias("x"), (F.col("o.f") == F.col("x.f")) & (F.col("o.code") == F.col("x.code")) & (F.col("open") > 1), "left")
+    own = F.col("met").isNull() | (F.col("met") == F.col("o.code"))
+    met = met.groupBy("entidad_dedup_id", F.col("o.f").alias("f"), F.coalesce("met", "o.code").alias("code")).agg(F.max(F.when(own, F.col("undated"))).alias("rank"), F.max(~own).alias("beaten"))
+    last = met.filter("not beaten").groupBy(*group).agg(F.max("rank").alias("last"))
+    return top.join(last, group, "left").select(*group, F.coalesce("last", "top").alias("rank"))
 
 
 def _summed(noted: DataFrame, plain: list[str]) -> DataFrame:
@@ -258,7 +307,7 @@ def survivors(rows: DataFrame, groups: DataFrame, sources: DataFrame, precedence
     # which row gives which fields; only then are the values themselves read, once and of those rows only
     ranked = summary.select("entidad_dedup_id", F.explode(F.array(*[F.struct(F.lit(FIELDS.index(f)).alias("f"), F.col(f"_r_{f}").alias("rank")) for f in plain])).alias("p")).select("entidad_dedup_id", "p.f", "p.rank").filter("rank is not null")
     if order.fields:
-        ranked = ranked.unionByName(_ordered(noted, order))
+        ranked = ranked.unionByName(_ordered(noted, order.fields, *order.coded(noted)))
     gives = ranked.groupBy("entidad_dedup_id", _row_of(F.col("rank")).alias("row_order")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("f"))).alias("_mask"))
     given = rows.select("row_order", *FIELDS).join(gives, "row_order").select("entidad_dedup_id", *[F.when(_has(f), F.col(f)).alias(f) for f in FIELDS])
     values = given.groupBy("entidad_dedup_id").agg(*[F.max(f).alias(f) for f in FIELDS])

@@ -134,6 +134,76 @@ def test_survivors_against_brute_force(spark):
     assert got == wanted
 
 
+def kinds(spark, rows):
+    """As ``frames``, with ``tipo_organizacion``, whose values are free text, as the field that changes."""
+    df, groups, sources = frames(spark, rows)
+    return df.withColumns({"tipo_organizacion": F.col("tamano_empresa"), "tamano_empresa": F.lit(None).cast("string")}), groups, sources
+
+
+def many_values(spark):
+    """Ninety frequent values that never change, and two rare ones between which ten groups tell the way; one more comes between once."""
+    rows = [(1000 + 20 * v + j, f"s{v}.{j // 2}", "c", f"20{10 + j % 2}-01-01", f"TIPO {v}", "N") for v in range(90) for j in range(20)]
+    for g in range(10):
+        rows += [(10 * g, f"m{g}", "c", "2020-01-01", "RARO A", "N"), (10 * g + 1, f"m{g}", "c", "2021-01-01", "RARO B", "N")]
+    for g in range(10):  # through a value of its own each, so nothing follows from them
+        rows += [(200 + 10 * g + j, f"t{g}", "c", f"202{j}-01-01", v, "N") for j, v in enumerate(["TIPO 1", f"UNICO {g}", "TIPO 2"])]
+    rows += [(5000, "u", "c", None, "Raro A", "U"), (5001, "u", "c", None, "raro-b", "U"), (5002, "w", "c", "2020-01-01", "RARO A", "W"), (5003, "w", "x", None, "raro b", "W")]
+    return kinds(spark, rows)
+
+
+def test_every_value_takes_part(spark):
+    """However many values are more frequent."""
+    data = many_values(spark)
+    learned = survivors.learned_precedence(survivors.annotated(*data))
+    assert learned.fields == ["tipo_organizacion"]
+    assert [(r.value, r.later) for r in learned.named(spark).collect()] == [("RARO A", "RARO B")]
+    got = {r.entidad_dedup_id: r.tipo_organizacion for r in survivors.survivors(*data).collect()}
+    assert got["u"] == "raro-b" and got["w"] == "raro b" and got["s7.3"] == "TIPO 7" and got["t3"] == "TIPO 2"
+
+
+def test_values_of_one_code_are_told_apart(spark, monkeypatch):
+    """Salts are taken until every value has a code of its own."""
+    data, code = many_values(spark), survivors._code
+    monkeypatch.setattr(survivors, "_code", lambda value, salt: F.lit(7).cast("bigint") if salt < 2 else code(value, salt))
+    learned = survivors.learned_precedence(survivors.annotated(*data))
+    assert learned.salt == 2 and learned.later("tipo_organizacion", "RARO A") == {"RARO B"}
+    assert {r.entidad_dedup_id: r.tipo_organizacion for r in survivors.survivors(*data).collect()}["u"] == "raro-b"
+
+
+def test_learned_and_given_changes_agree(spark):
+    """A hundred values with chains, circles and ways back: learned from rows, and by a matrix from the counted changes."""
+    import random
+
+    rng = random.Random(4)
+    values, moves, rows = [f"V{i:03}" for i in range(100)], {}, []
+    for _ in range(160):
+        a = rng.randrange(99)
+        b = a + rng.randint(1, 3) if rng.random() < 0.97 else rng.randrange(100)
+        if (b := min(b, 99)) != a:
+            moves[a, b] = moves.get((a, b), 0) + rng.choice([3, 8, 9, 12])
+    for (a, b), n in moves.items():
+        for _ in range(n):
+            g = len(rows)
+            rows += [(g, f"g{g}", "z", "2020-01-01", values[a], "N"), (g + 1, f"g{g}", "z", "2021-01-01", values[b], "N")]
+    for g in range(300):  # undated rows, some below a dated one
+        rows += [(10_000 + 10 * g + j, f"u{g}", rng.choice("cx"), "2020-01-01" if not j and g % 2 else None, rng.choice(values), "N") for j in range(4)]
+    data = kinds(spark, rows)
+    given = survivors.Precedence({"tipo_organizacion": values})
+    given.learn("tipo_organizacion", {m: (n, n, n) for m, n in moves.items()})
+    learned = survivors.learned_precedence(survivors.annotated(*data))
+    wanted = {(v, w) for v in values for w in given.later("tipo_organizacion", v)}
+    assert len(wanted) > 300 and {(r.value, r.later) for r in learned.named(spark).collect()} == wanted
+    got = [{r.entidad_dedup_id: r.tipo_organizacion for r in survivors.survivors(*data, p).collect()} for p in (None, given, learned)]
+    assert got[0] == got[1] == got[2]
+    rank = lambda r: (r[2] == "c", -r[0])
+    for g in range(300):
+        rs = [r for r in rows if r[1] == f"u{g}"]
+        top = next((r for r in rs if r[3]), None)
+        left = [r for r in rs if not r[3] and (top is None or (top[4], r[4]) in wanted)]
+        last = [r for r in left if not any((r[4], o[4]) in wanted for o in left)]
+        assert got[0][f"u{g}"] == max(last, key=rank, default=top)[4]
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test data")
 def test_guides_against_every_record(spark):
     """Brute force on the test tables: a record beaten by none of its group in any respect."""
